@@ -1,11 +1,11 @@
-"""Feed recorded messages to a pipeline as a stream, slice by slice in time order.
+"""Feed recorded messages to a pipeline as a stream, step by step.
 
 For backfills into a new checkpoint and for comparing a stream with its batch result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,42 +37,39 @@ def flush_message(spark: SparkSession, source: str) -> DataFrame:
     return spark.range(1).select(value.alias("value"), F.lit(FLUSH_TIME).alias("timestamp"))
 
 
-def replay(
-    spark: SparkSession,
-    config: PipelineConfig,
-    messages: Mapping[str, DataFrame],
-    *,
-    until: Sequence[datetime],
-    flush: bool = True,
+def feed(
+    spark: SparkSession, config: PipelineConfig, steps: Iterable[Mapping[str, DataFrame]]
 ) -> list[StreamingQuery]:
-    """Run the pipeline once per slice, resuming each time from its checkpoint.
+    """Run the pipeline once per step, resuming each time from its checkpoint.
 
-    ``messages`` holds a frame per source; ``until`` the times the slices end, the last one
-    taking all that is left.  Sources must be ``files`` sources over distinct folders, and
-    the sink must stop when it has read what is there.  Slices may hold any number of files:
-    a run takes them all in one micro-batch.
+    A step holds new messages per source.  Sources must be ``files`` sources over distinct
+    folders, and the sink must stop when it has read what is there.  A step may hold any
+    number of files: its run takes them all in one micro-batch, so which rows are late
+    depends on the steps alone.
     """
     if config.sink.trigger_seconds is not None:
-        raise ValueError("a replay needs trigger_seconds=None")
+        raise ValueError("feeding in steps needs trigger_seconds=None")
     folders = {s.name: s.options["path"] for s in config.sources}
-    borders = [None, *until, None]
     finished = []
-
-    def run() -> None:
+    for step in steps:
+        for name, rows in step.items():
+            rows.write.mode("append").parquet(folders[name])
         query = run_pipeline(spark, config)
         query.awaitTermination()
         finished.append(query)
-
-    for start, end in zip(borders, borders[1:], strict=False):
-        for name, rows in messages.items():
-            if start is not None:
-                rows = rows.where(F.col("timestamp") >= F.lit(start))
-            if end is not None:
-                rows = rows.where(F.col("timestamp") < F.lit(end))
-            rows.write.mode("append").parquet(folders[name])
-        run()
-    if flush:
-        for name, folder in folders.items():
-            flush_message(spark, name).write.mode("append").parquet(folder)
-        run()
     return finished
+
+
+def flush_step(spark: SparkSession, config: PipelineConfig) -> dict[str, DataFrame]:
+    return {s.name: flush_message(spark, s.name) for s in config.sources}
+
+
+def time_slices(
+    messages: Mapping[str, DataFrame], borders: Sequence[datetime]
+) -> Iterator[dict[str, DataFrame]]:
+    """Steps that cut all sources at the same times; the last one takes all that is left."""
+    time = F.col("timestamp")
+    for start, end in zip([None, *borders], [*borders, None], strict=True):
+        after = F.lit(True) if start is None else time >= F.lit(start)
+        before = F.lit(True) if end is None else time < F.lit(end)
+        yield {name: rows.where(after & before) for name, rows in messages.items()}
