@@ -221,9 +221,8 @@ def match_within(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
+        # Both windows share one shuffle: the second only adds a key to the first.
         views.unionByName(steps, allowMissingColumns=True)
-        # One shuffle serves both windows below.
-        .repartition(*unit)
         .withColumn("_present", F.collect_set("_attributes").over(in_unit))
         .withColumn(
             "_attributes",
