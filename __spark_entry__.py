@@ -45,6 +45,8 @@ def queries() -> dict[str, Query]:
         "top_pages_stream": reports.top_pages_stream,
         "late_rows_dropped": reports.late_rows_dropped,
         "noop_stream": reports.noop_stream,
+        "interval_join_stream": reports.interval_join_stream,
+        "tumbling_totals_stream": reports.tumbling_totals_stream,
     }
 
 
@@ -217,4 +219,19 @@ FROM ranked""",
             _STREAMS, on_time, weekly, per_window, select="SELECT * FROM ranked"
         ),
         "noop_stream": text_views,
+        "interval_join_stream": _query(
+            _STREAMS,
+            _PAIRS,
+            select="""
+SELECT viewtime, CAST(userid AS VARCHAR) AS userid, pageid, viewed_at, gender FROM pairs""",
+        ),
+        "tumbling_totals_stream": _query(
+            _STREAMS,
+            select="""
+SELECT pageid, date_trunc('day', viewed_at) AS window_start,
+       date_trunc('day', viewed_at) + INTERVAL 1 DAY AS window_end,
+       CAST(sum(viewtime) AS BIGINT) AS total_viewtime,
+       count(DISTINCT userid) AS distinct_userid_count
+FROM views GROUP BY ALL""",
+        ),
     }

@@ -68,7 +68,7 @@ class WindowConfig:
     distinct: str = "exact"
     rank_scope: str = "window"
     emit: str = "all"
-    salts: int = 16
+    salts: int = 8
 
     def __post_init__(self) -> None:
         check_window(self.size_seconds, self.slide_seconds)

@@ -32,7 +32,9 @@ def _parsed(df: DataFrame, schema: StructType) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     stamp = F.col("timestamp") if "timestamp" in df.columns else F.lit(None)
     return df.select(
-        F.from_json(text, with_corrupt, options).alias("_payload"),
+        # As the output of a generator the payload is parsed once; as a plain expression it
+        # would be parsed again for every filter that is moved below it.
+        F.explode(F.array(F.from_json(text, with_corrupt, options))).alias("_payload"),
         text.alias("_text"),
         stamp.cast("timestamp").alias(SOURCE_TIMESTAMP),
     )

@@ -106,26 +106,26 @@ def join_within(
     return left.alias("l").join(right.alias("r"), matched, "inner").select(*keep)
 
 
-def _salts_by_heat(left: DataFrame, on: str) -> DataFrame:
+def _bucket(on: str, slot: Column) -> Column:
+    return F.pmod(F.xxhash64(F.col(on), slot), F.lit(HEAT_BUCKETS)).cast("int").alias("_bucket")
+
+
+def _salts_by_heat(views: DataFrame) -> DataFrame:
     """Buckets of (key, slot) too large for one task, with the number of salts for each.
 
     A hot (key, slot) always makes its bucket hot; the cold ones that share the bucket are
     split along with it, which costs a few copies and changes no result.
     """
-    counts = left.groupBy(_bucket(on)).agg(F.count(F.lit(1)).alias("_rows"))
     everything = F.sum("_rows").over(Window.partitionBy())
     fair = F.greatest(everything / F.lit(HEAT_SHARE), F.lit(HEAT_FLOOR))
     return (
-        counts.withColumn("_salts", F.ceil(F.col("_rows") / fair).cast("int"))
+        views.groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_bucket", F.ceil(F.col("_rows") / fair).cast("int").alias("_salts"))
         .where(F.col("_salts") > 1)
-        .select("_bucket", "_salts")
     )
 
 
-def _bucket(on: str) -> Column:
-    return F.pmod(F.xxhash64(on, "_slot"), F.lit(HEAT_BUCKETS)).cast("int").alias("_bucket")
-
-
 def _steps(
     right: DataFrame, *, on: str, time: str, attributes: Sequence[str], bound: int, width: int
 ) -> DataFrame:
@@ -135,22 +135,24 @@ def _steps(
     it reaches into start with it.  Summing equal moments before the shuffle collapses
     copies, and all rows of a key that are alive at a slot start become one.
     """
-    starts = (
-        right.select(on, F.struct(*attributes).alias("_attributes"), _micros(time).alias("_start"))
-        .where(F.col(on).isNotNull() & F.col("_start").isNotNull())
-    )
-    end = F.col("_start") + F.lit(bound + 1)
-    in_slots = starts.select(
-        "*", _slots_between(F.col("_start"), end - F.lit(1), width).alias("_slot")
-    )
-    begins = F.struct(
-        F.greatest("_start", "_slot").alias("_at"), F.lit(1).cast("long").alias("_step")
-    )
-    ends = F.struct(end.alias("_at"), F.lit(-1).cast("long").alias("_step"))
-    within = end < F.col("_slot") + F.lit(width)
+    start = _micros(time)
+    end = start + F.lit(bound + 1)
+    slots = _slots_between(start, end - F.lit(1), width)
+    one = F.lit(1).cast("long")
+    begins = F.struct(F.greatest("_start", "_slot").alias("_at"), one.alias("_step"))
+    ends = F.struct(F.col("_end").alias("_at"), (-one).alias("_step"))
+    within = F.col("_end") < F.col("_slot") + F.lit(width)
     changes = F.when(within, F.array(begins, ends)).otherwise(F.array(begins))
     return (
-        in_slots.select(on, "_attributes", "_slot", F.inline(changes))
+        right.where(F.col(on).isNotNull() & F.col(time).isNotNull())
+        .select(
+            on,
+            F.struct(*attributes).alias("_attributes"),
+            start.alias("_start"),
+            end.alias("_end"),
+            slots.alias("_slot"),
+        )
+        .select(on, "_attributes", "_slot", F.inline(changes))
         .groupBy(on, "_slot", "_attributes", "_at")
         .agg(F.sum("_step").alias("_step"))
     )
@@ -181,58 +183,56 @@ def match_within(
     bound = bound_seconds * MICROS
     width = max(bound // slots_per_bound, MICROS)
 
+    slot = _slot(_micros(left_time), width)
+    views = left.where(F.col(on).isNotNull() & F.col(left_time).isNotNull()).select(
+        on,
+        slot.alias("_slot"),
+        _micros(left_time).alias("_at"),
+        F.struct(*left.columns).alias("_row"),
+        _bucket(on, slot),
+    )
+    salts = F.broadcast(_salts_by_heat(views))
     # Content and task number pick the salt: a task run again repeats its choices, and
     # copies of one row still spread over the tasks that read them.
-    spread = F.xxhash64(F.spark_partition_id(), *left.columns)
-    views = (
-        left.where(F.col(on).isNotNull() & F.col(left_time).isNotNull())
-        .withColumn("_at", _micros(left_time))
-        .withColumn("_slot", _slot(F.col("_at"), width))
+    spread = F.xxhash64(F.spark_partition_id(), "_row")
+    views = views.join(salts, "_bucket", "left").select(
+        on,
+        "_slot",
+        F.pmod(spread, F.coalesce("_salts", F.lit(1))).cast("int").alias("_salt"),
+        "_at",
+        F.lit(0).cast("long").alias("_step"),
+        "_row",
     )
-    salts = F.broadcast(_salts_by_heat(views, on))
-    views = (
-        views.withColumn("_bucket", _bucket(on))
-        .join(salts, "_bucket", "left")
-        .select(
-            on,
-            "_slot",
-            F.pmod(spread, F.coalesce("_salts", F.lit(1))).cast("int").alias("_salt"),
-            "_at",
-            F.lit(0).cast("long").alias("_step"),
-            F.struct(*left.columns).alias("_row"),
-        )
-    )
-    steps = (
-        _steps(right, on=on, time=right_time, attributes=attributes, bound=bound, width=width)
-        .withColumn("_bucket", _bucket(on))
-        .join(salts, "_bucket", "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - F.lit(1))),
-        )
-        .select(on, "_slot", "_salt", "_at", "_step", "_attributes")
+    steps = _steps(
+        right, on=on, time=right_time, attributes=attributes, bound=bound, width=width
+    ).select("*", _bucket(on, F.col("_slot")))
+    everywhere = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - F.lit(1)))
+    steps = steps.join(salts, "_bucket", "left").select(
+        on, "_slot", everywhere.alias("_salt"), "_at", "_step", "_attributes"
     )
 
     unit = [on, "_slot", "_salt"]
-    in_unit = Window.partitionBy(*unit)
+    is_view = F.col("_row").isNotNull()
+    present = F.collect_set("_attributes").over(Window.partitionBy(*unit))
     swept = (
         Window.partitionBy(*unit, "_attributes")
-        .orderBy("_at", F.col("_row").isNotNull())
+        .orderBy("_at", is_view)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         # Both windows share one shuffle: the second only adds a key to the first.
         views.unionByName(steps, allowMissingColumns=True)
-        .withColumn("_present", F.collect_set("_attributes").over(in_unit))
-        .withColumn(
-            "_attributes",
+        .select(*unit, "_at", "_step", "_row", "_attributes", present.alias("_present"))
+        .select(
+            *unit,
+            "_at",
+            "_step",
+            "_row",
             F.explode(
-                F.when(F.col("_row").isNotNull(), F.col("_present")).otherwise(
-                    F.array("_attributes")
-                )
-            ),
+                F.when(is_view, F.col("_present")).otherwise(F.array("_attributes"))
+            ).alias("_attributes"),
         )
-        .withColumn("matches", F.sum("_step").over(swept))
-        .where(F.col("_row").isNotNull() & (F.col("matches") > 0))
+        .select("_row", "_attributes", F.sum("_step").over(swept).alias("matches"))
+        .where(is_view & (F.col("matches") > 0))
         .select("_row.*", *[F.col(f"_attributes.{c}") for c in attributes], "matches")
     )

@@ -7,9 +7,9 @@ seconds.  Times are given as zone-less columns.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +17,17 @@ from crestline.config import PipelineConfig, SinkConfig, SourceConfig, WindowCon
 from crestline.functions import decode_json, encode_value, rejected_json, with_event_time
 from crestline.operators import hopping_agg, join_within, latest_window, match_within, top_n
 from crestline.plans.activity import pageviews_from_events, users_from_events
-from crestline.plans.transforms import NoOp
+from crestline.plans.transforms import NoOp, register_transform
 from crestline.schemas import PAGEVIEWS, USERS
 from crestline.session import configure, shared_dir
 from crestline.streaming.pipeline import run_batch
-from crestline.streaming.replay import as_messages, feed, flush_step, time_slices
+from crestline.streaming.replay import (
+    FLUSH_TIME,
+    as_messages,
+    feed,
+    flush_step,
+    time_slices,
+)
 
 DAY = 86_400
 WEEK = 7 * DAY
@@ -248,7 +254,10 @@ def _pipeline(root: str, delay_seconds: int) -> PipelineConfig:
             source("page-topic", "pageviews", "viewed_at"),
             source("user-topic", "users", "registered_at"),
         ),
-        window=WindowConfig(size_seconds=WEEK, slide_seconds=DAY, join_bound_seconds=WEEK),
+        # Here a user registers about as often as they view, so copies are dear: few salts.
+        window=WindowConfig(
+            size_seconds=WEEK, slide_seconds=DAY, join_bound_seconds=WEEK, salts=2
+        ),
         sink=SinkConfig(
             checkpoint=f"{root}/checkpoint",
             writer="files",
@@ -314,3 +323,73 @@ def noop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = replace(full, sources=full.sources[:1], transform="noOp")
     feed(spark, config, [{"page-topic": _view_messages(spark, sf_dir)}])
     return _plain_times(_written(spark, config), "viewed_at")
+
+
+class JoinedViews:
+    """The interval join alone, as a stream."""
+
+    on_batch = None
+
+    def __init__(self, config: PipelineConfig) -> None:
+        self.bound_seconds = config.window.join_bound_seconds
+        self.salts = config.window.salts
+
+    def on_stream(self, inputs: Mapping[str, DataFrame]) -> DataFrame:
+        return join_within(
+            inputs["page-topic"],
+            inputs["user-topic"],
+            on="userid",
+            left_time="viewed_at",
+            right_time="registered_at",
+            bound_seconds=self.bound_seconds,
+            right_columns=["gender"],
+            salts=self.salts,
+        )
+
+
+class PageTotals:
+    """View time and distinct users of each page and window, as a stream without a join."""
+
+    on_batch = None
+
+    def __init__(self, config: PipelineConfig) -> None:
+        self.window = config.window
+
+    def on_stream(self, inputs: Mapping[str, DataFrame]) -> DataFrame:
+        return hopping_agg(
+            inputs["page-topic"],
+            time="viewed_at",
+            size_seconds=self.window.size_seconds,
+            slide_seconds=self.window.slide_seconds,
+            group=["pageid"],
+            measure="viewtime",
+            entity="userid",
+            distinct=self.window.distinct,
+        )
+
+
+register_transform("joinedViews", JoinedViews)
+register_transform("pageTotals", PageTotals)
+
+
+def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs come out as soon as both rows are in, so nothing has to be flushed."""
+    configure(spark)
+    full = _pipeline(shared_dir(spark, "joined-views"), delay_seconds=HOUR)
+    config = replace(full, transform="joinedViews")
+    feed(spark, config, [_messages(spark, sf_dir)])
+    return _plain_times(_written(spark, config), "viewed_at")
+
+
+def tumbling_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    full = _pipeline(shared_dir(spark, "page-totals"), delay_seconds=HOUR)
+    config = replace(
+        full,
+        sources=full.sources[:1],
+        transform="pageTotals",
+        window=WindowConfig(size_seconds=DAY, slide_seconds=DAY),
+    )
+    views = {"page-topic": _view_messages(spark, sf_dir)}
+    feed(spark, config, [views, flush_step(spark, config)])
+    return _flat(_written(spark, config).where(F.col("window.end") < F.lit(FLUSH_TIME)))
