@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 # Runtime settings the library relies on.  Event times are compared as instants, so the zone
 # is pinned; skewed join partitions are split even where that costs one more shuffle; join
-# and window state lives in RocksDB, off the heap, and is uploaded as changelogs.
+# and window state lives in RocksDB, off the heap, one instance per partition and operator,
+# and is uploaded as changelogs.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +21,7 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
 

@@ -285,6 +285,20 @@ def test_text_and_column_sources(spark, tmp_path):
         open_source(spark, replace(text, options={}))
 
 
+def test_pretty_printed_json_files(spark, tmp_path):
+    """An array over several lines is read whole, its first and last row included."""
+    folder = tmp_path / "json"
+    folder.mkdir()
+    (folder / "users.json").write_text("[" + ",\n  ".join(fixtures.user_lines()) + "]")
+    users = SourceConfig(
+        name="u", schema="users", event_time="registertime", delay_seconds=0, reader="files",
+        format="columns",
+        options={"path": str(folder), "file_format": "json", "multiLine": "true"},
+    )
+    rows = open_source(spark, users, streaming=False)
+    assert {r.userid for r in rows.collect()} == {u for u, *_ in fixtures.USERS}
+
+
 def test_table_source(spark):
     spark.createDataFrame(fixtures.view_rows(), "viewtime long, userid string, pageid string") \
         .write.saveAsTable("stored_views")
