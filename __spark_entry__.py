@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crestline.plans import reports
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from crestline.plans import reports  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 

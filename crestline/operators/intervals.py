@@ -213,6 +213,7 @@ def match_within(
 
     unit = [on, "_slot", "_salt"]
     is_view = F.col("_row").isNotNull()
+    # The attribute values a key has within one slot, such as the one gender of a user.
     present = F.collect_set("_attributes").over(Window.partitionBy(*unit))
     swept = (
         Window.partitionBy(*unit, "_attributes")
