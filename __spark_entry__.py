@@ -12,6 +12,17 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from crestline.plans import reports  # noqa: E402
 
+# The training-data operators and their pipeline are a part that may be left out whole.
+try:
+    import corpus_pipeline  # noqa: E402
+    from crestline import llm  # noqa: E402
+except ImportError as missing:
+    if (missing.name or "").split(".")[:2] not in (["corpus_pipeline"], ["crestline", "llm"]) and (
+        missing.name != "crestline"
+    ):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -21,7 +32,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    more = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
+    return more | {
         "users_from_events": reports.users,
         "pageviews_from_events": reports.pageviews,
         "interval_join": reports.interval_join,
@@ -134,7 +146,10 @@ pairs AS (
   JOIN users u ON v.userid = u.userid
    AND v.viewed_at >= u.registertime AND v.viewed_at <= u.registertime + INTERVAL 7 DAYS
 )"""
-    return {
+    more = dict(llm.oracle_sql()) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return more | {
         "users_from_events": _query(_STREAMS, select="SELECT * FROM users"),
         "pageviews_from_events": views,
         "interval_join": pairs,
