@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from crestline.llm import mixing, token_store, topk
 
-def queries() -> dict:
-    from crestline.llm import mixing
 
+def queries() -> dict:
     return {
+        "op5_topk_search": topk.op5_topk_search,
+        "op7_token_store": token_store.op7_token_store,
         "op10_source_mixing": mixing.op10_source_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_topk_search": topk.TOPK_SQL,
+    }
