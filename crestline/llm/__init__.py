@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from crestline.llm import mixing, token_store, topk
+from crestline.llm import licenses, mixing, secrets, token_store, topk
 
 
 def queries() -> dict:
     return {
         "op5_topk_search": topk.op5_topk_search,
+        "op6_secret_scan": secrets.op6_secret_scan,
         "op7_token_store": token_store.op7_token_store,
+        "op8_license_scan": licenses.op8_license_scan,
         "op10_source_mixing": mixing.op10_source_mixing,
     }
 
@@ -16,4 +18,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_topk_search": topk.TOPK_SQL,
+        "op6_secret_scan": secrets.SECRETS_SQL,
+        "op8_license_scan": licenses.LICENSES_SQL,
     }
