@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crestline.llm import licenses, mixing, secrets, token_store, topk
+from crestline.llm import decontam, licenses, mixing, secrets, token_store, topk
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op6_secret_scan": secrets.op6_secret_scan,
         "op7_token_store": token_store.op7_token_store,
         "op8_license_scan": licenses.op8_license_scan,
+        "op9_decontamination": decontam.op9_decontamination,
         "op10_source_mixing": mixing.op10_source_mixing,
     }
 
