@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from crestline.llm import decontam, licenses, mixing, secrets, token_store, topk
+from crestline.llm import decontam, langid, licenses, mixing, secrets, token_store, topk
 
 
 def queries() -> dict:
     return {
+        "op1_language_id": langid.op1_language_id,
         "op5_topk_search": topk.op5_topk_search,
         "op6_secret_scan": secrets.op6_secret_scan,
         "op7_token_store": token_store.op7_token_store,
@@ -18,6 +19,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_language_id": langid.op1_language_id,
         "op5_topk_search": topk.TOPK_SQL,
         "op6_secret_scan": secrets.SECRETS_SQL,
         "op8_license_scan": licenses.LICENSES_SQL,
