@@ -43,7 +43,7 @@ from crestline.llm.common import (
 END_ID = 0
 KEYS_PER_BUCKET = 50_000
 ROWS_PER_READ = 2_048
-REMEMBERED = 600_000
+REMEMBERED = 450_000
 ENTRY = np.dtype([("print", "<u4"), ("shard", "<u4"), ("row", "<u8"), ("rows", "<u4")])
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 
@@ -296,7 +296,7 @@ class Store:
 # ---------------------------------------------------------------- jobs
 
 
-def by_volume(batches: Iterator[pa.RecordBatch], chars: int = 4 << 20) -> Iterator[tuple[list, list]]:
+def by_volume(batches: Iterator[pa.RecordBatch], chars: int = 2 << 20) -> Iterator[tuple[list, list]]:
     """Keys and texts of batches, put together until there are so many characters."""
     keys, texts, volume = [], [], 0
     for batch in batches:
