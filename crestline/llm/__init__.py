@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from crestline.llm import decontam, langid, licenses, mixing, secrets, token_store, topk
+from crestline.llm import decontam, langid, licenses, mixing, quality, secrets, token_store, topk
 
 
 def queries() -> dict:
     return {
         "op1_language_id": langid.op1_language_id,
+        "op4_quality_classifier": quality.op4_quality_classifier,
         "op5_topk_search": topk.op5_topk_search,
         "op6_secret_scan": secrets.op6_secret_scan,
         "op7_token_store": token_store.op7_token_store,
