@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from crestline.llm import decontam, langid, licenses, mixing, quality, secrets, token_store, topk
+from crestline.llm import decontam, langid, licenses, minhash, mixing, quality, secrets, token_store, topk
 
 
 def queries() -> dict:
     return {
         "op1_language_id": langid.op1_language_id,
+        "op3_minhash_dedup": minhash.op3_minhash_dedup,
         "op4_quality_classifier": quality.op4_quality_classifier,
         "op5_topk_search": topk.op5_topk_search,
         "op6_secret_scan": secrets.op6_secret_scan,
@@ -20,7 +21,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_language_id": langid.op1_language_id,
+        "op3_minhash_dedup": minhash.NEAR_SQL,
         "op5_topk_search": topk.TOPK_SQL,
         "op6_secret_scan": secrets.SECRETS_SQL,
         "op8_license_scan": licenses.LICENSES_SQL,
