@@ -8,8 +8,9 @@ count their texts and the counts meet by n-gram, then totals and continuation co
 to them by context, sharded by its value.
 
 A document's score is bits per symbol, its perplexity 2 to that power.  It is kept if the score
-is at most the quantile ``quantile`` of the trusted documents in its language (of all trusted
-documents where the language has none), found on a histogram of bins of ``BIN`` bits.
+is at most the quantile ``quantile`` in its language (of all languages where it has none) of the
+trusted documents held out of the training, one in ``HELD_OUT``: documents a model has seen
+score better than others like them.  Quantiles are found on a histogram of bins of ``BIN`` bits.
 
 Defined cases: null or empty text has a null perplexity and is not kept; without trusted text all
 other documents are kept; a null language is a language of its own; repeated rows each give their
@@ -33,6 +34,7 @@ from crestline.llm.common import materialize, read_table, small_batches
 SYMBOLS = 64
 ORDER = 4
 QUANTILE = 0.995
+HELD_OUT = 4
 BIN = 0.002
 CHUNK = 1 << 20
 _MARKS = " .,;:!?'\"()-|/%"
@@ -203,11 +205,13 @@ def fit(trusted: DataFrame, text: str = "text") -> Model | None:
     return None
 
 
-def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
+def trusted_ids(labels: DataFrame, held_out: bool, key: str = "doc_id") -> DataFrame:
+    """Ids of trusted documents: those trained on, or those held out to set thresholds."""
+    out = F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_OUT)) == 0
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     return (
         labels.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("trusted_id"))
-        .agg(F.min(F.coalesce(good, F.lit(False))).alias("good")).where("good").select("trusted_id")
+        .agg(F.min(F.coalesce(good, F.lit(False))).alias("good")).where("good").select("trusted_id").where(out if held_out else ~out)
     )
 
 
@@ -223,7 +227,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     conf.set(name, "1MB")
     try:
         named = docs.select(F.col(key).cast("long").alias("trusted_id"), F.col(text).alias("text"))
-        return fit(named.join(trusted_ids(labels), "trusted_id", "left_semi"))
+        return fit(named.join(trusted_ids(labels, held_out=False), "trusted_id", "left_semi"))
     finally:
         conf.set(name, before)
 
@@ -251,7 +255,7 @@ def thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
     """Most bits of a kept document, per language of the scored rows (key, lang, bits)."""
     known = scores.where("bits is not null").withColumn("bin", F.ceil(F.col("bits") / BIN))
     bins = (
-        known.join(trusted_ids(labels), F.col("key") == F.col("trusted_id"), "left_semi")
+        known.join(trusted_ids(labels, held_out=True), F.col("key") == F.col("trusted_id"), "left_semi")
         .groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
     bins = materialize(bins, "quality-bins")
