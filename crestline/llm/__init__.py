@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from crestline.llm import decontam, langid, licenses, minhash, mixing, quality, secrets, token_store, topk
+from crestline.llm import (
+    decontam, langid, licenses, minhash, mixing, quality, secrets, suffix_dedup, token_store, topk,
+)
 
 
 def queries() -> dict:
     return {
         "op1_language_id": langid.op1_language_id,
+        "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
         "op3_minhash_dedup": minhash.op3_minhash_dedup,
         "op4_quality_classifier": quality.op4_quality_classifier,
         "op5_topk_search": topk.op5_topk_search,
