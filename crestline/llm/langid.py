@@ -7,8 +7,9 @@ among its training documents; a text goes to the language of the centroid neares
 A text farther from its centroid than all but a few of that centroid's own documents is marked
 ``rejected``.
 
-The model is fitted on a bounded sample, ``SAMPLE`` documents per language, those with the
-least hashes; its size is languages x centroids x DIM floats.  Every text is then read whole.
+The model is fitted on a bounded sample, at most ``SAMPLE`` documents per language: of each of
+``SALTS`` parts that a hash deals a language into, those with the least hashes.  Its size is
+languages x centroids x DIM floats.  Every text is then read whole.
 
 Defined cases: text that is null or has no letter is ``und`` with score 0 and rejected; so is
 every text if there is nothing to learn from; equal similarities go to the language first in
@@ -29,6 +30,7 @@ from crestline.llm.common import read_table, small_batches
 
 DIM = 8_192
 SAMPLE = 1_000
+SALTS = 20
 CENTROIDS = 4
 ROUNDS = 12
 REJECT_SHARE = 0.005
@@ -129,12 +131,14 @@ def fit(
     """Model from labelled documents: vectors and k-means run in tasks, one group a language."""
     spark = docs.sparkSession
     small_batches(spark)
-    least = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", F.length("text"), F.xxhash64("text"))
+    # A language may hold most rows: it is dealt into parts, each sampled by itself.
+    mark = F.xxhash64("key", "text")
+    least = Window.partitionBy("lang", F.pmod(mark, F.lit(SALTS))).orderBy(mark, "key", "text")
     chosen = (
         docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(label).alias("lang"))
         .where("lang is not null and text is not null")
         .withColumn("n", F.row_number().over(least))
-        .where(F.col("n") <= sample)
+        .where(F.col("n") <= max(1, sample // SALTS))
         .select("lang", "text")
     )
 
