@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from crestline.llm import bloom
 from crestline.llm.common import materialize, read_table, small_batches
 
 SYMBOLS = 64
@@ -140,7 +141,7 @@ def _discounts(counts: DataFrame) -> list[float]:
         return [0.5, 0.5, 0.5]
     y = n[1] / (n[1] + 2 * n[2])
     d = [k - (k + 1) * y * n[k + 1] / n[k] if n[k] else k / 2 for k in (1, 2, 3)]
-    return [min(max(x, 0.0), k) for x, k in zip(d, (1, 2, 3))]
+    return [min(max(x, 0.1), k) for x, k in zip(d, (1, 2, 3))]
 
 
 def _order(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -218,18 +219,23 @@ def trusted_ids(labels: DataFrame, held_out: bool, key: str = "doc_id") -> DataF
 def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> Model | None:
     """A model of the documents that labels call good and not toxic.
 
-    The join by id would shuffle every text; a Bloom filter of the trusted ids, which Spark
-    makes and bounds, leaves the others where they are.
+    The join by id would shuffle every text; a Bloom filter of the trusted ids, of bounded
+    size, leaves most of the others where they are.
     """
-    conf = docs.sparkSession.conf
-    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    before = conf.get(name)
-    conf.set(name, "1MB")
-    try:
-        named = docs.select(F.col(key).cast("long").alias("trusted_id"), F.col(text).alias("text"))
-        return fit(named.join(trusted_ids(labels, held_out=False), "trusted_id", "left_semi"))
-    finally:
-        conf.set(name, before)
+    spark = docs.sparkSession
+    small_batches(spark)
+    ids = materialize(trusted_ids(labels, held_out=False), "quality-trusted")
+    shared = spark.sparkContext.broadcast(bloom.build(ids))
+
+    def pick(batches):
+        for b in batches:
+            own = b.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            yield b.filter(pa.array(bloom.maybe(shared.value, own), pa.bool_()))
+
+    named = docs.select(F.col(key).cast("long").alias("trusted_id"), F.col(text).alias("text"))
+    some = named.mapInArrow(pick, "trusted_id long, text string")
+    # The same plan at every size: a shuffle of what is left.
+    return fit(some.join(ids.hint("merge"), "trusted_id", "left_semi"))
 
 
 def scored(docs: DataFrame, model: Model | None, *, text: str = "text", extra: list[Column] | None = None) -> DataFrame:
