@@ -53,7 +53,8 @@ def _folded(text: str) -> np.ndarray:
     code = np.where(kind == _LETTER, code, 32)
     keep = np.ones(len(code), bool)
     keep[1:] = (code[1:] != 32) | (code[:-1] != 32)
-    return code[keep]
+    code = code[keep]
+    return code[int(len(code) and code[0] == 32) : len(code) - int(len(code) > 1 and code[-1] == 32)]
 
 
 def has_letter(text: str | None) -> bool:
