@@ -116,7 +116,7 @@ def solve(
         (F.sum(F.col("_z").cast("decimal(20,0)") * F.col("_z") * F.col("_docs")).cast("double")).alias("_mean"),
     )
     state = _targets(_numbered(sources), weights, cap, share)
-    ratio = F.col("_target") / F.col("_size")
+    ratio = F.try_divide("_target", "_size")
     state = state.select(
         "_source", "_idx", "_size", "_target",
         # Mean size of the document a word is in: the dual variable then has no unit.
@@ -124,7 +124,7 @@ def solve(
         (F.col("_size") * F.lit(float(cap)) <= F.col("_target") * F.lit(1 + 1e-12)).alias("_full"),
         "_least", ratio.alias("_ratio"),
     )
-    reach = F.col("_scale") / F.col("_least")
+    reach = F.try_divide("_scale", "_least")
     state = state.select(
         "*",
         F.lit(0.0).alias("_lambda"),
@@ -164,7 +164,7 @@ def _newton(hist: DataFrame, state: DataFrame, cap: float) -> tuple[DataFrame, i
     gap = F.col("_f") - F.col("_target")
     lo = F.when(gap < 0, F.greatest("_lo", "_lambda")).otherwise(F.col("_lo"))
     hi = F.when(gap >= 0, F.least("_hi", "_lambda")).otherwise(F.col("_hi"))
-    newton = F.col("_lambda") - gap / F.col("_slope")
+    newton = F.col("_lambda") - F.try_divide(gap, F.col("_slope"))
     inside = (F.col("_slope") > 0) & (newton > F.col("_nlo")) & (newton < F.col("_nhi"))
     stepped = (
         state.join(sums, "_idx", "left")
