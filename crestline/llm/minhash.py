@@ -10,7 +10,8 @@ connection between them matters, so pairs are not listed: first each node is ver
 against the one partner it shares most buckets with, among the least node of each of its buckets;
 then against the least nodes of the buckets that still hold several components; and for the
 buckets where that leaves several, every node outside the bucket's largest component is
-verified against all of other components.  Verification intersects whole sets.  Nodes that are
+verified against those nodes of other components that share a shingle with it among the rarest
+of both, which all similar enough ones do.  Verification intersects whole sets.  Nodes that are
 connected already need no further pair, so the classes are those of all links.
 
 Components are found by alternating large-star and small-star steps over tables in the shared
@@ -133,6 +134,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different roots that can be similar enough, one of them ``few``.
+
+    All shingles are put in one order, rare ones first.  Two sets of n and m shingles, similar
+    enough, share one of the first n - ceil(t n) + 1 of the one and m - ceil(t m) + 1 of the
+    other.  From the first shared one on, enough must be left of both.  A set that
+    differs from all others begins with shingles of its own, which meet none.
+    """
+
+    def spell(batches):
+        for b in batches:
+            for node, root, few, raw in zip(*(b.column(c).to_pylist() for c in ("node", "root", "few", "shingles"))):
+                own = np.frombuffer(raw, np.int64)
+                n = len(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, node)), pa.array(np.full(n, root)), pa.array(np.full(n, bool(few))), pa.array(own)],
+                    names=["node", "root", "few", "shingle"],
+                )
+
+    spelt = nodes.join(sets, "node").select("node", "root", "few", "shingles").mapInArrow(spell, "node long, root long, few boolean, shingle long")
+    spelt = materialize(spelt, "minhash-spelt")
+    often = spelt.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
+    placed = spelt.join(often, "shingle").groupBy("node", "root", "few").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("all")
+    )
+    n = F.size("all")
+    length = n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1
+    first = placed.select("node", "root", "few", n.alias("n"), F.posexplode(F.slice("all", F.lit(1), length)).alias("i", "one")).where("one.often > 1")
+    first = materialize(first.select("node", "root", "few", "n", "i", F.col("one.shingle").alias("shingle")), "minhash-prefixes")
+    x, y = first.where("few").alias("x"), first.alias("y")
+    # What is left from the first shared shingle on must be enough for the similarity.
+    most = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
+    fits = most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
+    met = x.join(y, apart & fits)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (least node reachable) of every node with a link."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
@@ -187,9 +226,10 @@ def near_duplicates(
     left = open_buckets(links)
     sizes = left.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    few = left.join(main, "bucket").where("root <> main").select("bucket", F.col("node").alias("p"), F.col("root").alias("of"))
-    rest = left.join(few, "bucket").where("root <> of and node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
-    rest = rest.distinct().join(done, ["a", "b"], "left_anti").join(pairs, ["a", "b"], "left_anti")
+    few = left.join(main, "bucket").where("root <> main").select("node").distinct().withColumn("few", F.lit(True))
+    open_nodes = materialize(left.select("node", "root").distinct().join(few, "node", "left"), "minhash-open-nodes")
+    rest = _prefix_pairs(open_nodes, sets, percent)
+    rest = materialize(rest.join(done, ["a", "b"], "left_anti").join(pairs, ["a", "b"], "left_anti"), "minhash-pairs")
     links = links.unionByName(_verified(rest, sets, percent))
 
     roots = components(links)
