@@ -58,5 +58,12 @@ def unpacked(df: DataFrame, names: list[str], row: str = "_row") -> list[Column]
     return [F.col(row).getField(c).alias(c) for c in names]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that a table does not have yet."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

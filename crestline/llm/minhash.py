@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crestline.llm.common import materialize, read_table, small_batches
+from crestline.llm.common import fresh, materialize, read_table, small_batches
 from crestline.llm.shingles import shingle_sets
 from crestline.llm.spans import mix64
 
@@ -250,10 +250,12 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width:
     """One row of each class, whole as it is: of the least id, and of its rows the first text."""
     found = materialize(near_duplicates(docs, key=key, text=text, width=width, percent=percent), "minhash-found")
     counted = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("any"))
-    odd = materialize(counted.where("n > 1 or not any").select(F.col("key").alias("_key"), (F.col("any") & F.col("key").isNotNull()).alias("_any")), "minhash-odd")
-    id_ = F.col(key).cast("long")
-    single = docs.join(odd.select("_key"), id_ == F.col("_key"), "left_anti")
-    many = docs.join(odd.where("_any"), id_ == F.col("_key"), "left_semi").dropDuplicates([key])
+    id_ = fresh(docs, "id")
+    odd = counted.where("n > 1 or not any").select(F.col("key").alias(id_), (F.col("any") & F.col("key").isNotNull()).alias("any"))
+    odd = materialize(odd, "minhash-odd")
+    at = F.col(key).cast("long") == F.col(id_)
+    single = docs.join(odd.select(id_), at, "left_anti")
+    many = docs.join(odd.where("any").select(id_), at, "left_semi").dropDuplicates([key])
     return single.unionByName(many)
 
 
