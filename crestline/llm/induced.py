@@ -52,15 +52,29 @@ class Queue:
             self.parts, self.held = [], 0
 
     def take(self):
+        """The tuples in parts as long as memory allows: each part is one step of a pass."""
         if self.file:
             self.file.seek(0)
-            self.file.flush()
+            some: list[tuple[np.ndarray, np.ndarray]] = []
+            held = 0
             for n in self.stored:
-                yield np.fromfile(self.file, np.int64, n), np.fromfile(self.file, np.uint8, n)
+                some.append((np.fromfile(self.file, np.int64, n), np.fromfile(self.file, np.uint8, n)))
+                held += n
+                if held > self.most:
+                    yield self._joined(some)
+                    some, held = [], 0
             self.file.close()
-        yield from self.parts
+            self.parts = some + self.parts
+        if self.parts:
+            yield self._joined(self.parts)
         self.parts = []
 
+    @staticmethod
+    def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        if len(parts) == 1:
+            return parts[0]
+        return np.concatenate([s for s, _ in parts]), np.concatenate([c for _, c in parts])
+
 
 def _types(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which suffixes are rising (S), and how often each one's first symbol repeats (to TOP)."""
