@@ -38,7 +38,7 @@ LENGTH = induced.DEPTH
 GRAM = 32
 RUN_BYTES = 1 << 20
 SEGMENT = 1 << 22
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _CONTEXTS = "gram long, context long, text_id long, at long, size int"
 
@@ -247,13 +247,18 @@ def covered_stretches(docs: DataFrame) -> DataFrame:
     """text_id, a, b: stretches of distinct texts (column ``text``) that repeated windows cover."""
     spark = docs.sparkSession
     every = materialize(_all_contexts(docs), "suffix-contexts")
-    again = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Written, so that joins with it can be split where one anchor has many rows.
+    again = materialize(
+        every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "suffix-again"
+    )
     some = materialize(every.join(again, "gram"), "suffix-candidates")
     distinct = materialize(
         some.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("text_id", "at", "size")).alias("one")),
         "suffix-distinct",
     )
-    mixed = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram")
+    mixed = materialize(
+        distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("gram"), "suffix-mixed"
+    )
     wanted = materialize(
         distinct.join(mixed, "gram").select("gram", "context", "one.text_id", "one.at", "one.size"), "suffix-wanted"
     )
