@@ -48,6 +48,11 @@ def queries() -> dict[str, Query]:
         "top_pages_by_users": reports.top_pages_by_users,
         "top_pages_by_group": reports.top_pages_by_group,
         "top_pages_latest_window": reports.top_pages_latest_window,
+        "top_pages_latest_by_group": reports.top_pages_latest_by_group,
+        "top_pages_latest_stream": reports.top_pages_latest_stream,
+        "top_pages_launched": reports.top_pages_launched,
+        "pageviews_from_table": reports.pageviews_from_table,
+        "interval_join_hot_user": reports.interval_join_hot_user,
         "top_pages_requested_window": reports.top_pages_requested_window,
         "distinct_pages": reports.distinct_pages,
         "total_viewtime": reports.total_viewtime,
@@ -125,6 +130,10 @@ def oracle_sql() -> dict[str, str]:
     weekly = _hopping(_WEEK, _DAY, _USERS_TOO)
     per_window = _ranked("gender, window_start")
     flagship = _query(_STREAMS, _PAIRS, weekly, per_window, select="SELECT * FROM ranked")
+    latest = _query(
+        _STREAMS, _PAIRS, weekly, per_window,
+        select="SELECT * FROM ranked WHERE window_end = (SELECT max(window_end) FROM totals)",
+    )
     views = _query(_STREAMS, select="SELECT * FROM views")
     text_views = _query(
         _STREAMS,
@@ -187,12 +196,25 @@ FROM pairs GROUP BY userid, viewtime, pageid, viewed_at, gender""",
             _ranked("gender", ties="pageid, window_start"),
             select="SELECT * FROM ranked",
         ),
-        "top_pages_latest_window": _query(
+        "top_pages_latest_window": latest,
+        "top_pages_latest_by_group": latest,
+        "top_pages_latest_stream": latest,
+        "top_pages_launched": flagship,
+        "pageviews_from_table": views,
+        "interval_join_hot_user": _query(
             _STREAMS,
-            _PAIRS,
-            weekly,
-            per_window,
-            select="SELECT * FROM ranked WHERE window_end = (SELECT max(window_end) FROM totals)",
+            """
+hot_views AS (SELECT * REPLACE (CASE WHEN epoch_us(viewed_at) % 3 = 0 THEN 1 ELSE userid END AS userid) FROM views)""",
+            """
+hot_users AS (SELECT * REPLACE (CASE WHEN epoch_us(registertime) % 3 = 0 THEN 1 ELSE userid END AS userid) FROM users)""",
+            select="""
+SELECT v.userid, v.pageid, u.gender, count(*) AS matches, CAST(sum(viewtime) AS BIGINT) AS total_viewtime
+FROM hot_views v JOIN hot_users u ON v.userid = u.userid
+ AND v.viewed_at >= u.registertime AND v.viewed_at <= u.registertime + INTERVAL 7 DAYS
+GROUP BY v.userid, v.pageid, u.gender""",
+        ),
+        "hopping_distinct_approx": _query(
+            _STREAMS, _PAIRS, _hopping(_WEEK, _DAY), select="SELECT *, TRUE AS within_error FROM totals"
         ),
         "top_pages_requested_window": _query(
             _STREAMS,

@@ -141,24 +141,41 @@ def _pairs(text: str) -> dict[str, str]:
     return dict(item.split("=", 1) for item in text.split(",") if item)
 
 
+# Options of a reader or writer itself are passed on without these prefixes.
+PASSED_ON = ("reader.", "writer.")
+
+
+def _passed_on(options: Mapping[str, str], prefix: str, topic: str = "") -> dict[str, str]:
+    """A value may name the topic it is for as ``{topic}``."""
+    own = {k[len(prefix):]: v for k, v in options.items() if k.startswith(prefix)}
+    return {k: v.replace("{topic}", topic) for k, v in own.items()}
+
+
 def from_options(
     options: Mapping[str, str], *, checkpoint: str, join_bound_seconds: int | None = None
 ) -> PipelineConfig:
     """Build a configuration from job options given by name, all values as text.
 
-    The join bound defaults to the lateness of the users stream.
+    ``reader.x`` and ``writer.x`` become option x of every source or of the sink.  Brokers and
+    the output topic are needed where Kafka is read or written.  The join bound defaults to
+    the lateness of the users stream.
     """
-    unknown = sorted(set(options) - set(OPTION_NAMES))
+    unknown = sorted(k for k in set(options) - set(OPTION_NAMES) if not k.startswith(PASSED_ON))
     if unknown:
         raise ValueError(f"unknown options: {unknown}")
-    for name in (*_LISTS, *_PAIRS):
+    reader, writer = options.get("reader-type", "kafka"), options.get("writer-type", "kafka")
+    brokers = {}
+    if "kafka" in (reader, writer):
+        _require(options.get("kafka-brokers"), "kafka-brokers")
+        brokers = {"kafka.bootstrap.servers": options["kafka-brokers"]}
+    for name in ("input-topics", *_PAIRS):
         _require(options.get(name), name)
     times, delays, schemas = (_pairs(options[name]) for name in _PAIRS)
-    reader = options.get("reader-type", "kafka")
     sources = []
     for topic in options["input-topics"].split(","):
         for name, values in zip(_PAIRS, (times, delays, schemas), strict=True):
             _require(values.get(topic), f"{name} for topic {topic!r}")
+        kafka = {**brokers, "subscribe": topic} if reader == "kafka" else {}
         sources.append(
             SourceConfig(
                 name=topic,
@@ -166,20 +183,16 @@ def from_options(
                 event_time=times[topic],
                 delay_seconds=int(delays[topic]),
                 reader=reader,
-                options={"kafka.bootstrap.servers": options["kafka-brokers"], "subscribe": topic},
+                options={**kafka, **_passed_on(options, "reader.", topic)},
             )
         )
     if join_bound_seconds is None:
         late = [s.delay_seconds for s in sources if s.schema == "users"]
         join_bound_seconds = late[0] if late else WindowConfig.join_bound_seconds
-    writer = options.get("writer-type", "kafka")
-    sink_options = {}
+    sink_options = _passed_on(options, "writer.")
     if writer == "kafka":
         _require(options.get("output-topic"), "output-topic")
-        sink_options = {
-            "kafka.bootstrap.servers": options["kafka-brokers"],
-            "topic": options["output-topic"],
-        }
+        sink_options = {**brokers, "topic": options["output-topic"], **sink_options}
     return PipelineConfig(
         sources=tuple(sources),
         transform=options.get("transform-type", "top10ByGender"),

@@ -8,10 +8,10 @@ A left row at time ``t`` matches every right row of the same key with time ``r``
                   carrying how many right rows match instead of repeating the left row
 
 In batch both cut time into slots and shuffle on (key, slot), so that a key holding a
-large share of the rows is spread over as many reducers as it has active slots, and a left
-row meets only right rows from its own stretch of time.  What is still uneven after that
-is split further: join partitions by adaptive execution, which measures them, and sweep
-partitions by salts taken from a count of rows per hash bucket.
+large share of the rows is spread over as many reducers as it has active slots.
+``join_within`` copies a right row to the slots it reaches and lets adaptive execution split
+uneven join partitions.  ``match_within`` copies nothing: a right row is two steps in a running
+count, and what is alive at the start of a slot is carried in as one number.
 """
 
 from __future__ import annotations
@@ -23,19 +23,9 @@ from pyspark.sql import functions as F
 
 MICROS = 1_000_000
 
-# Slots per join bound in ``match_within``.  More slots spread a hot key further; a right row
-# that is alone in its stretch of time is announced to this many slots plus one.
-SLOTS_PER_BOUND = 4
-
-# ``match_within`` counts left rows per hash bucket of (key, slot): the counts are a table of
-# at most HEAT_BUCKETS rows whatever the data size, which is what makes it safe to broadcast.
-HEAT_BUCKETS = 16384
-
-# Rows of one (key, slot) are split so that a task gets about 1/HEAT_SHARE of all left rows.
-HEAT_SHARE = 4096
-
-# Below this many rows per task splitting is not worth the copies of the right side.
-HEAT_FLOOR = 1_000_000
+# Slots per join bound in ``match_within``.  More slots spread a hot key, on both sides, over
+# more reducers; each slot in use costs one small row.
+SLOTS_PER_BOUND = 64
 
 
 def _micros(time: str | Column) -> Column:
@@ -106,58 +96,54 @@ def join_within(
     return left.alias("l").join(right.alias("r"), matched, "inner").select(*keep)
 
 
-def _bucket(on: str, slot: Column) -> Column:
-    return F.pmod(F.xxhash64(F.col(on), slot), F.lit(HEAT_BUCKETS)).cast("int").alias("_bucket")
-
-
-def _salts_by_heat(views: DataFrame) -> DataFrame:
-    """Buckets of (key, slot) too large for one task, with the number of salts for each.
-
-    A hot (key, slot) always makes its bucket hot; the cold ones that share the bucket are
-    split along with it, which costs a few copies and changes no result.
-    """
-    everything = F.sum("_rows").over(Window.partitionBy())
-    fair = F.greatest(everything / F.lit(HEAT_SHARE), F.lit(HEAT_FLOOR))
-    return (
-        views.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_bucket", F.ceil(F.col("_rows") / fair).cast("int").alias("_salts"))
-        .where(F.col("_salts") > 1)
-    )
-
-
 def _steps(
     right: DataFrame, *, on: str, time: str, attributes: Sequence[str], bound: int, width: int
 ) -> DataFrame:
-    """Changes, slot by slot, in how many right rows reach a moment.
+    """Changes in how many right rows reach a moment, each in the slot of its own time.
 
-    A right row at ``r`` adds one at ``r`` and takes it away just after ``r + bound``; slots
-    it reaches into start with it.  Summing equal moments before the shuffle collapses
-    copies, and all rows of a key that are alive at a slot start become one.
+    A right row at ``r`` adds one at ``r`` and takes it away just after ``r + bound``.  Equal
+    moments are summed before the shuffle.
     """
-    start = _micros(time)
-    end = start + F.lit(bound + 1)
-    slots = _slots_between(start, end - F.lit(1), width)
+    begin = _micros(time)
     one = F.lit(1).cast("long")
-    begins = F.struct(F.greatest("_start", "_slot").alias("_at"), one.alias("_step"))
-    ends = F.struct(F.col("_end").alias("_at"), (-one).alias("_step"))
-    within = F.col("_end") < F.col("_slot") + F.lit(width)
-    changes = F.when(within, F.array(begins, ends)).otherwise(F.array(begins))
+    changes = F.array(
+        F.struct(begin.alias("_at"), one.alias("_step")),
+        F.struct((begin + F.lit(bound + 1)).alias("_at"), (-one).alias("_step")),
+    )
     return (
         right.where(F.col(on).isNotNull() & F.col(time).isNotNull())
-        .select(
-            on,
-            F.struct(*attributes).alias("_attributes"),
-            start.alias("_start"),
-            end.alias("_end"),
-            slots.alias("_slot"),
-        )
-        .select(on, "_attributes", "_slot", F.inline(changes))
-        .groupBy(on, "_slot", "_attributes", "_at")
+        .select(on, F.struct(*attributes).alias("_attributes"), F.inline(changes))
+        .groupBy(on, _slot(F.col("_at"), width).alias("_slot"), "_attributes", "_at")
         .agg(F.sum("_step").alias("_step"))
     )
 
 
+def _alive(steps: DataFrame, views: DataFrame, on: str) -> DataFrame:
+    """Right rows alive at the start of each slot that a left row can match in.
+
+    Sums of steps per slot are added up over the earlier slots of a (key, attributes): one
+    row per slot, however many rows lie in it.
+    """
+    nets = steps.groupBy(on, "_attributes", "_slot").agg(
+        F.sum("_step").alias("_net"), F.count(F.lit(1)).alias("_steps")
+    )
+    nothing = F.lit(0).cast("long")
+    known = steps.select(on, "_attributes").distinct()
+    looked_at = views.select(on, "_slot").distinct().join(known, on)
+    slots = looked_at.select(
+        on, "_attributes", "_slot", nothing.alias("_net"), nothing.alias("_steps"), F.lit(True).alias("_seen")
+    ).unionByName(nets.withColumn("_seen", F.lit(False)))
+    per_slot = slots.groupBy(on, "_attributes", "_slot").agg(
+        F.sum("_net").alias("_net"), F.sum("_steps").alias("_steps"), F.max("_seen").alias("_seen")
+    )
+    earlier = Window.partitionBy(on, "_attributes").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        per_slot.withColumn("_alive", F.coalesce(F.sum("_net").over(earlier), nothing))
+        .where(F.col("_seen") & ((F.col("_alive") > 0) | (F.col("_steps") > 0)))
+        .select(on, "_attributes", "_slot", "_alive")
+    )
+
+
 def match_within(
     left: DataFrame,
     right: DataFrame,
@@ -173,67 +159,42 @@ def match_within(
 
     Gives the same left rows and ``attributes`` values as ``join_within``, once each, with
     the number of pairs they stand for in ``matches``; sums over pairs then become
-    ``sum(x * matches)``.  Both sides are swept in time order within (key, slot) with a
-    running count, so the work grows with the rows of the two sides and not with the
-    number of pairs, however many right rows of one key fall within the bound.
+    ``sum(x * matches)``.  Both sides are swept in time order within (key, attributes, slot)
+    with a running count that starts from what is alive at the start of the slot, so the work
+    grows with the rows of the two sides and not with the number of pairs, and a key that is
+    hot on either side is spread over its slots.
     """
     _check_bound(bound_seconds)
+    if slots_per_bound < 1:
+        raise ValueError(f"slots per bound must be at least 1, got {slots_per_bound}")
     if left.isStreaming or right.isStreaming:
         raise ValueError("match_within runs on batch frames; use join_within on streams")
     bound = bound_seconds * MICROS
     width = max(bound // slots_per_bound, MICROS)
 
-    slot = _slot(_micros(left_time), width)
     views = left.where(F.col(on).isNotNull() & F.col(left_time).isNotNull()).select(
         on,
-        slot.alias("_slot"),
+        _slot(_micros(left_time), width).alias("_slot"),
         _micros(left_time).alias("_at"),
         F.struct(*left.columns).alias("_row"),
-        _bucket(on, slot),
-    )
-    salts = F.broadcast(_salts_by_heat(views))
-    # Content and task number pick the salt: a task run again repeats its choices, and
-    # copies of one row still spread over the tasks that read them.
-    spread = F.xxhash64(F.spark_partition_id(), "_row")
-    views = views.join(salts, "_bucket", "left").select(
-        on,
-        "_slot",
-        F.pmod(spread, F.coalesce("_salts", F.lit(1))).cast("int").alias("_salt"),
-        "_at",
-        F.lit(0).cast("long").alias("_step"),
-        "_row",
-    )
-    steps = _steps(
-        right, on=on, time=right_time, attributes=attributes, bound=bound, width=width
-    ).select("*", _bucket(on, F.col("_slot")))
-    everywhere = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - F.lit(1)))
-    steps = steps.join(salts, "_bucket", "left").select(
-        on, "_slot", everywhere.alias("_salt"), "_at", "_step", "_attributes"
     )
+    steps = _steps(right, on=on, time=right_time, attributes=attributes, bound=bound, width=width)
+    alive = _alive(steps, views, on)
 
-    unit = [on, "_slot", "_salt"]
-    is_view = F.col("_row").isNotNull()
-    # The attribute values a key has within one slot, such as the one gender of a user.
-    present = F.collect_set("_attributes").over(Window.partitionBy(*unit))
+    unit = [on, "_slot", "_attributes"]
+    nothing = F.lit(0).cast("long")
     swept = (
-        Window.partitionBy(*unit, "_attributes")
-        .orderBy("_at", is_view)
+        Window.partitionBy(*unit)
+        .orderBy("_at", F.col("_row").isNotNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    carried = alive.select(*unit, F.col("_slot").alias("_at"), F.col("_alive").alias("_step"))
     return (
-        # Both windows share one shuffle: the second only adds a key to the first.
-        views.unionByName(steps, allowMissingColumns=True)
-        .select(*unit, "_at", "_step", "_row", "_attributes", present.alias("_present"))
-        .select(
-            *unit,
-            "_at",
-            "_step",
-            "_row",
-            F.explode(
-                F.when(is_view, F.col("_present")).otherwise(F.array("_attributes"))
-            ).alias("_attributes"),
-        )
+        # Views meet the attribute values that can match in their slot.
+        views.join(alive.select(*unit), [on, "_slot"])
+        .select(*unit, "_at", nothing.alias("_step"), "_row")
+        .unionByName(steps.select(*unit, "_at", "_step").unionByName(carried), allowMissingColumns=True)
         .select("_row", "_attributes", F.sum("_step").over(swept).alias("matches"))
-        .where(is_view & (F.col("matches") > 0))
+        .where(F.col("_row").isNotNull() & (F.col("matches") > 0))
         .select("_row.*", *[F.col(f"_attributes.{c}") for c in attributes], "matches")
     )

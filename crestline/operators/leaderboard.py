@@ -50,8 +50,9 @@ def top_n(
 def latest_window(df: DataFrame, *, window: str = "window") -> DataFrame:
     """Rows whose window ends last.  Batch only.
 
-    Meant for ranked rows: those are few, and a rank filter needs one pass over them where
-    a maximum joined back would compute the whole input twice.
+    For ranked rows, which are few: all rows given meet in one task, since a rank filter
+    needs one pass over them where a maximum joined back would compute the input twice.
+    ``top_n_latest`` prunes totals first.
     """
     newest = Window.orderBy(F.desc(f"{window}.end"))
     return (
@@ -59,3 +60,28 @@ def latest_window(df: DataFrame, *, window: str = "window") -> DataFrame:
         .where(F.col("_age") == 1)
         .drop("_age")
     )
+
+
+def top_n_latest(
+    df: DataFrame,
+    *,
+    group: Sequence[str],
+    item: Sequence[str],
+    order_by: str,
+    n: int,
+    tie_break: Sequence[str],
+    window: str = "window",
+    position: str = "page_pos",
+) -> DataFrame:
+    """The top n rows of each group in the window that ends last.
+
+    Each (group, item) first drops all but its own last window, spread over those keys, so what
+    is ranked does not grow with the history.  The last window of all is the last one of each
+    of its items and therefore whole; what is left of older ones goes at the end.
+    """
+    newest = Window.partitionBy(*group, *item).orderBy(F.desc(f"{window}.end"))
+    last = df.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") == 1).drop("_age")
+    ranked = top_n(
+        last, partition_by=[*group, window], order_by=order_by, n=n, tie_break=tie_break, position=position
+    )
+    return latest_window(ranked, window=window)

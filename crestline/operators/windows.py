@@ -5,10 +5,12 @@ Windows start at whole multiples of the slide since the epoch and exclude their
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 DISTINCT_MODES = ("exact", "approx", None)
 
@@ -40,8 +42,8 @@ def hopping_agg(
 ) -> DataFrame:
     """Sum of ``measure``, and distinct ``entity`` values, per group and window.
 
-    ``distinct`` is ``exact``, ``approx`` (HyperLogLog++ with relative error ``rsd``) or
-    ``None`` for the sum alone.  A slide equal to the size gives tumbling windows.  On a
+    ``distinct`` is ``exact``, ``approx`` (HyperLogLog with relative error ``rsd``) or
+    ``None`` for the sum alone.  Windows carry TIMESTAMP bounds, whatever kind the time is.  A slide equal to the size gives tumbling windows.  On a
     stream, ``time`` needs a watermark and the result is meant for append mode.
     """
     check_window(size_seconds, slide_seconds)
@@ -49,59 +51,66 @@ def hopping_agg(
         raise ValueError(f"distinct must be one of {DISTINCT_MODES}, got {distinct!r}")
     if distinct and entity is None:
         raise ValueError("counting distinct values needs an entity column")
+    if not isinstance(df.schema[time].dataType, TimestampType):
+        df = df.withColumn(time, F.col(time).cast("timestamp"))  # one type on every path
     measure = F.col(measure) if isinstance(measure, str) else measure
     summed = F.sum(measure).alias(total)
     window = F.window(time, _seconds(size_seconds), _seconds(slide_seconds))
 
-    if distinct != "approx" and not df.isStreaming and size_seconds % slide_seconds == 0:
+    if not df.isStreaming:
         return _by_panes(
             df, time, size_seconds, slide_seconds, group, measure, entity if distinct else None,
-            total, distinct_total,
+            distinct, rsd, total, distinct_total,
         )
     if distinct is None:
         return df.groupBy(*group, window).agg(summed)
     if distinct == "approx":
         users = F.approx_count_distinct(entity, rsd).alias(distinct_total)
         return df.groupBy(*group, window).agg(summed, users)
-    if not df.isStreaming:
-        return df.groupBy(*group, window).agg(
-            summed, F.count_distinct(entity).alias(distinct_total)
-        )
     return _exact_on_stream(
         df, window, size_seconds, slide_seconds, group, measure, entity, total, distinct_total
     )
 
 
 def _by_panes(
-    df, time, size_seconds, slide_seconds, group, measure, entity, total, distinct_total
+    df, time, size_seconds, slide_seconds, group, measure, entity, distinct, rsd, total, distinct_total
 ) -> DataFrame:
-    """Batch windows put together from panes, the slide-long pieces windows consist of.
+    """Batch windows put together from panes, the longest pieces all windows consist of.
 
     Rows are summed per pane before a pane is copied to the windows it is part of, instead
-    of copying every row.  For distinct counts the summed rows are then brought together
-    by entity, so that the copies find each other within a task and only counts travel.
+    of copying every row.  For exact distinct counts the summed rows are then brought together
+    by entity, so that the copies find each other within a task and only counts travel; for
+    approximate ones a pane carries a sketch, and sketches are merged per window.
     """
-    slide = slide_seconds * 1_000_000
-    panes = size_seconds // slide_seconds
+    slide, size = slide_seconds * 1_000_000, size_seconds * 1_000_000
+    pane = math.gcd(slide, size)
     at = F.unix_micros(F.col(time))
-    keys = [*group, entity] if entity else list(group)
+    sketched = entity if distinct == "approx" else None
+    keys = [*group, entity] if entity and not sketched else list(group)
+    sums = [F.sum(measure).alias("_sum")]
+    if sketched:
+        # Standard error of a sketch of 2**k cells is below 1.04 / sqrt(2**k).
+        k = min(max(math.ceil(2 * math.log2(1.04 / rsd)), 4), 21)
+        sums.append(F.hll_sketch_agg(F.col(entity).cast("string"), F.lit(k)).alias("_sketch"))
     per_pane = (
         df.where(F.col(time).isNotNull())
-        .groupBy(*keys, (at - F.pmod(at, F.lit(slide))).alias("_pane"))
-        .agg(F.sum(measure).alias("_sum"))
+        .groupBy(*keys, (at - F.pmod(at, F.lit(pane))).alias("_pane"))
+        .agg(*sums)
     )
-    if entity:
+    if entity and not sketched:
         per_pane = per_pane.repartition(*keys)
-    first = F.col("_pane") - F.lit((panes - 1) * slide)
-    copies = per_pane.withColumn(
-        "_start", F.explode(F.sequence(first, F.col("_pane"), F.lit(slide)))
-    )
+    last = F.col("_pane") - F.pmod(F.col("_pane"), F.lit(slide))
+    reach = F.col("_pane") + F.lit(pane - size)
+    first = reach + F.pmod(-reach, F.lit(slide))
+    copies = per_pane.withColumn("_start", F.explode(F.sequence(first, last, F.lit(slide))))
     results = [F.sum("_sum").alias(total)]
-    if entity:
+    if sketched:
+        results.append(F.hll_sketch_estimate(F.hll_union_agg("_sketch")).alias(distinct_total))
+    elif entity:
         results.append(F.count_distinct(entity).alias(distinct_total))
     window = F.struct(
         F.timestamp_micros("_start").alias("start"),
-        F.timestamp_micros(F.col("_start") + F.lit(size_seconds * 1_000_000)).alias("end"),
+        F.timestamp_micros(F.col("_start") + F.lit(size)).alias("end"),
     )
     return (
         copies.groupBy(*group, "_start")

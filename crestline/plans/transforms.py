@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crestline.config import PipelineConfig
-from crestline.operators import hopping_agg, join_within, latest_window, match_within, top_n
+from crestline.operators import hopping_agg, join_within, match_within, top_n, top_n_latest
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
@@ -73,15 +73,28 @@ class TopPagesByGroup:
         )
 
     def on_batch(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """The leaders of every window of the batch, or of its latest one.
+
+        The latest window is ranked by itself whatever the scope: ranked over all windows, it
+        could lose its places to older ones.
+        """
+        if self.window.emit == "latest":
+            return top_n_latest(
+                batch,
+                group=["gender"],
+                item=["pageid"],
+                order_by="total_viewtime",
+                n=self.window.top,
+                tie_break=["pageid"],
+            )
         per_window = self.window.rank_scope == "window"
-        ranked = top_n(
+        return top_n(
             batch,
             partition_by=["gender", "window"] if per_window else ["gender"],
             order_by="total_viewtime",
             n=self.window.top,
             tie_break=["pageid"] if per_window else ["pageid", "window"],
         )
-        return latest_window(ranked) if self.window.emit == "latest" else ranked
 
 
 class NoOp:

@@ -25,19 +25,35 @@ SETTINGS = {
 }
 
 
+# Names of the zone that event times are compared in.
+UTC = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu", "Universal"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``SETTINGS`` to a session; sizes such as shuffle partitions stay the cluster's."""
+    """Apply ``SETTINGS`` where the session leaves them open; sizes stay the cluster's.
+
+    A time zone that the caller has set to something else would change results: an error.
+    """
+    own = spark.conf.getAll
+    zone = own.get("spark.sql.session.timeZone")
+    if zone is not None and zone not in UTC:
+        raise ValueError(f"event times need spark.sql.session.timeZone=UTC, the session has {zone!r}")
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in own:
+            spark.conf.set(key, value)
     return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where the session names none, as in local tests, is a temporary folder used.
+    Only a local session may leave that unset, as in tests; its folder is temporary.  What is
+    written there is kept until the caller, or whoever owns the folder, clears it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="crestline-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

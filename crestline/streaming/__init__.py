@@ -1,4 +1,4 @@
-from crestline.streaming.pipeline import dropped_late_rows, run_batch, run_pipeline
+from crestline.streaming.pipeline import DroppedRows, recently_dropped, run_batch, run_pipeline
 from crestline.streaming.sinks import get_sink, register_sink
 
-__all__ = ["dropped_late_rows", "get_sink", "register_sink", "run_batch", "run_pipeline"]
+__all__ = ["DroppedRows", "get_sink", "recently_dropped", "register_sink", "run_batch", "run_pipeline"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from crestline.config import PipelineConfig
 from crestline.plans.transforms import get_transform
@@ -33,8 +33,33 @@ def run_batch(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     return transform.on_batch(result, 0) if transform.on_batch else result
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as later than the watermark, over the progress Spark still remembers."""
+class DroppedRows(StreamingQueryListener):
+    """Adds up, over all triggers, what stateful operators drop behind the watermark.
+
+    Operators count after partial sums and copies to windows, so one late row can count as
+    less or more than one: a signal that rows are late, not their number.  Unlike a query's
+    own progress, which keeps the last hundred triggers, this forgets nothing.  Register it with
+    ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self.total = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.total += sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def recently_dropped(query: StreamingQuery) -> int:
+    """What ``DroppedRows`` counts, over the triggers the query still remembers."""
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress

@@ -59,16 +59,31 @@ def write_kafka(batch: DataFrame, sink: SinkConfig, batch_id: int) -> None:
     messages.write.format("kafka").options(**sink.options).save()
 
 
+def _refuse_other_run(batch: DataFrame, path: str) -> None:
+    """A first batch over a folder with later ones would mix two runs."""
+    jvm = batch.sparkSession.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(batch.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(folder):
+        return
+    names = [f.getPath().getName() for f in files.listStatus(folder)]
+    if any(n.startswith("batch_id=") and n != "batch_id=0" for n in names):
+        raise ValueError(f"{path!r} holds batches of another run; give a new folder or its checkpoint")
+
+
 def write_files(batch: DataFrame, sink: SinkConfig, batch_id: int) -> None:
     """A folder per batch under ``path``; a batch run again replaces its own folder."""
     options = dict(sink.options)
     path = options.pop("path")
+    if batch_id == 0:
+        _refuse_other_run(batch, path)
     kind = options.pop("file_format", "parquet")
     target = f"{path.rstrip('/')}/batch_id={batch_id}"
     _encoded(batch, sink).write.mode("overwrite").format(kind).options(**options).save(target)
 
 
 def write_console(batch: DataFrame, sink: SinkConfig, batch_id: int) -> None:
+    """Shows the first ``numRows`` rows of a batch, 10 unless given."""
     _encoded(batch, sink).show(int(sink.options.get("numRows", 10)), truncate=False)
 
 

@@ -84,14 +84,19 @@ def test_counts_equal_brute_force(spark, seed, slots):
     assert counted(matched, "matches") == brute_force(views, users)
 
 
-def test_counts_do_not_change_when_hot_keys_are_split(spark, monkeypatch):
-    monkeypatch.setattr(intervals, "HEAT_FLOOR", 2)
-    views, users = random_case(5)
+def test_hot_key_is_spread_over_its_slots_on_both_sides(spark):
+    """A burst of one user within one bound: no slot holds more than its stretch of time."""
+    views = [("hot", "p", t) for t in range(64)]
+    users = [("hot", "F", t + 0.5) for t in range(64)]
     left, right = frames(spark, views, users)
-    buckets = left.select(F.pmod(F.xxhash64("user"), F.lit(64)).cast("int").alias("_bucket"))
-    assert intervals._salts_by_heat(buckets).agg(F.max("_salts")).first()[0] > 10
     matched = match_within(left, right, attributes=["gender"], **KEYS)
     assert counted(matched, "matches") == brute_force(views, users)
+    width = KEYS["bound_seconds"] * intervals.MICROS // intervals.SLOTS_PER_BOUND
+    steps = intervals._steps(
+        right, on="user", time=KEYS["right_time"], attributes=["gender"],
+        bound=KEYS["bound_seconds"] * intervals.MICROS, width=max(width, intervals.MICROS),
+    )
+    assert steps.groupBy("user", "_slot").count().agg(F.max("count")).first()[0] <= 2
 
 
 def test_both_bounds_are_included(spark):
@@ -133,7 +138,7 @@ def test_hot_key_is_shuffled_by_slot_and_nothing_is_crossed(spark):
     assert "_slot" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     plan = match_within(left, right, attributes=["gender"], **KEYS)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
-    assert "hashpartitioning(user" in plan and "_salt" in plan
+    assert "hashpartitioning(user" in plan and "_slot" in plan
 
 
 def test_bad_arguments(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from crestline.config import PipelineConfig, SinkConfig, SourceConfig, WindowConfig
 from crestline.operators import hopping_agg
 from crestline.sources import open_source
-from crestline.streaming import dropped_late_rows, get_sink, run_batch, run_pipeline
+from crestline.streaming import recently_dropped, get_sink, run_batch, run_pipeline
 from crestline.streaming.replay import feed, flush_step, time_slices
 from crestline.streaming.sinks import write_files
 
@@ -147,7 +147,7 @@ def test_slices_and_restarts_equal_one_batch(spark, tmp_path):
     messages = {"v": views(300), "u": users}
     borders = [EPOCH + timedelta(seconds=s) for s in (1100, 1200)]
     runs = feed(spark, cfg, [*time_slices(messages, borders), flush_step(spark, cfg)])
-    assert sum(dropped_late_rows(q) for q in runs) == 0
+    assert sum(recently_dropped(q) for q in runs) == 0
     columns = ["gender", "window", "pageid", "total_viewtime", "distinct_userid_count", "page_pos"]
     streamed = written(spark, cfg).select(*columns)
     batch = run_batch(spark, cfg).select(*columns)
@@ -192,7 +192,7 @@ def late_case(spark, tmp_path):
         )
         query = get_sink("files")(totals, sink, None)
         query.awaitTermination()
-        return dropped_late_rows(query)
+        return recently_dropped(query)
 
     def totals():
         rows = spark.read.parquet(f"{tmp_path}/out").collect()
