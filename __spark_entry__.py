@@ -59,6 +59,7 @@ def queries() -> dict[str, Query]:
         "decoded_pageviews": reports.decoded_pageviews,
         "decoded_users": reports.decoded_users,
         "rejected_messages": reports.rejected_messages,
+        "rejected_stream": reports.rejected_stream,
         "encode_value_json": reports.encode_value_json,
         "noop": reports.noop,
         "json_file_scan": reports.json_file_scan,
@@ -237,6 +238,7 @@ FROM users""",
         ),
         # No document is a JSON object, hence every one is turned away and no view is.
         "rejected_messages": "SELECT text AS value FROM documents",
+        "rejected_stream": "SELECT text AS value FROM documents",
         "encode_value_json": _query(
             _STREAMS,
             _PAIRS,

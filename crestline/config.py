@@ -30,7 +30,8 @@ class SourceConfig:
 
     ``event_time`` names the event-time column.  With ``time_field`` it is derived from that
     payload field; otherwise a payload field of the same name is converted in place, and
-    failing that the source's own timestamp is used.
+    failing that the source's own timestamp is used.  ``rejects`` is a folder for the messages
+    that cannot be read; without one they are left out.
     """
 
     name: str
@@ -42,6 +43,7 @@ class SourceConfig:
     reader: str = "kafka"
     format: str = "json"
     options: Mapping[str, str] = field(default_factory=dict)
+    rejects: str | None = None
 
     def __post_init__(self) -> None:
         _require(self.name, "source name")

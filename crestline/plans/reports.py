@@ -416,6 +416,19 @@ def noop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(_written(spark, config), "viewed_at")
 
 
+def rejected_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a pipeline writes of page views mixed with document texts, which it cannot read."""
+    configure(spark)
+    full = _pipeline(shared_dir(spark, "rejects"), delay_seconds=HOUR)
+    source = replace(full.sources[0], rejects=f"{full.sink.checkpoint}-out")
+    config = replace(full, sources=(source,), transform="noOp")
+    noise = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.col("text").alias("value"), F.lit(None).cast("timestamp").alias("timestamp")
+    )
+    feed(spark, config, [{"page-topic": _view_messages(spark, sf_dir)}, {"page-topic": noise}])
+    return spark.read.parquet(source.rejects).select("value")
+
+
 class JoinedViews:
     """The interval join alone, as a stream."""
 

@@ -3,26 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from crestline.config import PipelineConfig
+from crestline.functions.messages import rejected_json
 from crestline.plans.transforms import get_transform
+from crestline.schemas import get_schema
 from crestline.session import configure
 from crestline.sources.readers import get_reader, load_inputs
 from crestline.streaming.sinks import get_sink
 
 
-def run_pipeline(spark: SparkSession, config: PipelineConfig) -> StreamingQuery:
+def start_rejects(spark: SparkSession, config: PipelineConfig) -> list[StreamingQuery]:
+    """A query for each source with a ``rejects`` folder, which gets its unreadable messages.
+
+    Each has a checkpoint of its own beside the pipeline's and counts its rows as the observed
+    metric ``rejects``.  It reads the source by itself: a message that cannot be read has no
+    time, so it cannot pass the stateful operators of the pipeline's own query.
+    """
+    started = []
+    for source in config.sources:
+        if source.rejects is None or source.format != "json":
+            continue
+        rows = rejected_json(get_reader(source.reader)(spark, source, True), get_schema(source.schema))
+        writer = (
+            rows.observe("rejects", F.count(F.lit(1)).alias("rows"))
+            .writeStream.outputMode("append").format("parquet")
+            .option("path", source.rejects)
+            .option("checkpointLocation", f"{config.sink.checkpoint.rstrip('/')}-rejects-{source.name}")
+        )
+        seconds = config.sink.trigger_seconds
+        when = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
+        started.append(writer.trigger(**when).start())
+    return started
+
+
+def run_pipeline(
+    spark: SparkSession, config: PipelineConfig, side: list[StreamingQuery] | None = None
+) -> StreamingQuery:
     """Start the stream and return its query; waiting for and stopping it is the caller's.
 
-    Every name in the configuration is resolved before anything is opened.
+    Every name in the configuration is resolved before anything is opened.  The queries that
+    write rejected messages are started along with it and put into ``side``.
     """
     transform, sink = get_transform(config), get_sink(config.sink.writer)
     for source in config.sources:
         get_reader(source.reader)
     configure(spark)
     streamed = transform.on_stream(load_inputs(spark, config))
-    return sink(streamed, config.sink, transform.on_batch)
+    query = sink(streamed, config.sink, transform.on_batch)
+    rejects = start_rejects(spark, config)
+    if side is not None:
+        side.extend(rejects)
+    return query
 
 
 def run_batch(spark: SparkSession, config: PipelineConfig) -> DataFrame:

@@ -54,8 +54,10 @@ def feed(
     for step in steps:
         for name, rows in step.items():
             rows.write.mode("append").parquet(folders[name])
-        query = run_pipeline(spark, config)
-        query.awaitTermination()
+        side: list[StreamingQuery] = []
+        query = run_pipeline(spark, config, side)
+        for each in (query, *side):
+            each.awaitTermination()
         finished.append(query)
     return finished
 

@@ -77,6 +77,18 @@ def test_every_topic_needs_its_pairs():
         from_options({**OPTIONS, "topic-delay-pair": "views-topic=20"}, checkpoint="/c")
 
 
+def test_other_ends_than_kafka_need_no_brokers():
+    plain = {k: v for k, v in OPTIONS.items() if k not in ("kafka-brokers", "output-topic")}
+    files = {"reader-type": "files", "writer-type": "files", "reader.path": "/in/{topic}", "writer.path": "/out"}
+    config = from_options({**plain, **files}, checkpoint="/c")
+    assert [s.options for s in config.sources] == [{"path": "/in/" + s.name} for s in config.sources]
+    assert config.sink.options == {"path": "/out"}
+    with pytest.raises(ValueError, match="kafka-brokers"):
+        from_options({**plain, **files, "writer-type": "kafka"}, checkpoint="/c")
+    mixed = from_options({**OPTIONS, "reader.startingOffsets": "earliest"}, checkpoint="/c")
+    assert all(s.options["startingOffsets"] == "earliest" for s in mixed.sources)
+
+
 def test_unknown_option():
     with pytest.raises(ValueError, match="colour"):
         from_options({**OPTIONS, "colour": "red"}, checkpoint="/c")

@@ -147,3 +147,10 @@ def test_bad_arguments(spark):
         join_within(left, right, right_columns=[], **{**KEYS, "bound_seconds": -1})
     with pytest.raises(ValueError, match="salts"):
         join_within(left, right, right_columns=[], salts=0, **KEYS)
+
+
+@pytest.mark.parametrize("slots", [0, -1])
+def test_slots_are_checked(spark, slots):
+    left, right = frames(spark, [("u", "p", 1)], [("u", "F", 1)])
+    with pytest.raises(ValueError, match="slots"):
+        match_within(left, right, attributes=["gender"], slots_per_bound=slots, **KEYS)

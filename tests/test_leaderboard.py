@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from crestline.operators import latest_window, top_n
+from crestline.operators import latest_window, top_n, top_n_latest
 
 
 def frame(spark, rows):
@@ -76,3 +76,17 @@ def test_latest_window_keeps_all_rows_of_the_last_window(spark):
 def test_bad_n(spark):
     with pytest.raises(ValueError, match="at least 1"):
         ranked(frame(spark, ROWS), 0)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_latest_leaders_equal_ranking_everything(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice("FM"), f"p{rng.randrange(8)}", 10 * w, 10 * w + 60, rng.randrange(6)) for w in range(12) for _ in range(9)]
+    totals = (
+        spark.createDataFrame(rows, "g string, page string, a int, b int, n int")
+        .groupBy("g", "page", F.struct(F.timestamp_seconds("a").alias("start"), F.timestamp_seconds("b").alias("end")).alias("window"))
+        .agg(F.sum("n").alias("n"))
+    )
+    want = latest_window(top_n(totals, partition_by=["g", "window"], order_by="n", n=3, tie_break=["page"]))
+    got = top_n_latest(totals, group=["g"], item=["page"], order_by="n", n=3, tie_break=["page"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from crestline.config import PipelineConfig, SinkConfig, SourceConfig, WindowConfig
 from crestline.operators import hopping_agg
 from crestline.sources import open_source
-from crestline.streaming import recently_dropped, get_sink, run_batch, run_pipeline
+from crestline.streaming import DroppedRows, get_sink, recently_dropped, run_batch, run_pipeline
 from crestline.streaming.replay import feed, flush_step, time_slices
 from crestline.streaming.sinks import write_files
 
@@ -311,3 +311,34 @@ def test_table_source(spark):
         assert open_source(spark, table).isStreaming
     finally:
         spark.sql("DROP TABLE stored_views")
+
+
+def test_a_first_batch_over_another_run_is_refused(spark, tmp_path):
+    sink = SinkConfig(checkpoint="/c", writer="files", options={"path": str(tmp_path / "out")})
+    write_files(spark.range(2), sink, 0)
+    write_files(spark.range(3), sink, 0)  # the same batch again
+    write_files(spark.range(1), sink, 1)
+    with pytest.raises(ValueError, match="another run"):
+        write_files(spark.range(2), sink, 0)
+
+
+def test_dropped_rows_add_up_over_all_triggers():
+    from types import SimpleNamespace as Any
+
+    counter = DroppedRows()
+    for n in range(250):
+        counter.onQueryProgress(Any(progress=Any(stateOperators=[Any(numRowsDroppedByWatermark=n % 2), Any(numRowsDroppedByWatermark=1)])))
+    assert counter.total == 375
+
+
+def test_latest_window_whatever_the_rank_scope(spark, tmp_path):
+    """Large totals of an older window do not take the places of the latest one."""
+    cfg = config(tmp_path, emit="latest", rank_scope="group", top=2)
+    rows = [("F", 0, "a", 100), ("F", 0, "b", 90), ("F", 60, "c", 5)]
+    totals = spark.createDataFrame(rows, "gender string, at int, pageid string, total_viewtime long").select(
+        "gender", "pageid", "total_viewtime",
+        F.struct(F.timestamp_seconds("at").alias("start"), F.timestamp_seconds(F.col("at") + 60).alias("end")).alias("window"),
+    )
+    from crestline.plans.transforms import TopPagesByGroup
+
+    assert [r.pageid for r in TopPagesByGroup(cfg).on_batch(totals, 0).collect()] == ["c"]

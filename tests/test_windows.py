@@ -103,3 +103,15 @@ def test_bad_distinct(spark):
         hopping_agg(df, distinct="some", **window, **HOW)
     with pytest.raises(ValueError, match="entity"):
         hopping_agg(df, **window, **{**HOW, "entity": None})
+
+
+@pytest.mark.parametrize("size,slide", [(60, 10), (50, 20), (60, 60)])
+@pytest.mark.parametrize("distinct", [None, "exact", "approx"])
+def test_zoneless_times_give_the_same_windows(spark, size, slide, distinct):
+    rows = [(t % 3, float(t * 7 % 200), t % 5) for t in range(60)]
+    df = spark.createDataFrame(rows, "g int, s double, e int").selectExpr("g", "timestamp_seconds(s) AS t", "e")
+    plain = df.withColumn("t", F.col("t").cast("timestamp_ntz"))
+    how = {"time": "t", "size_seconds": size, "slide_seconds": slide, "group": ["g"], "measure": "e", "entity": "e", "distinct": distinct}
+    one, two = hopping_agg(df, **how), hopping_agg(plain, **how)
+    assert one.dtypes == two.dtypes
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
