@@ -167,9 +167,16 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # What is left from the first shared shingle on must be enough for the similarity.
     most = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
     fits = most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    once = ~F.col("y.few") | (F.col("x.node") < F.col("y.node"))
     apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
-    met = x.join(y, apart & fits)
-    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    met = x.join(y, apart & fits & once).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
+        (F.col("x.n") + F.col("y.n")).alias("both"), most.alias("most"),
+    )
+    # Shared so far, and what is left after the last of them, bounds what two sets can share.
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("most").alias("left"), F.max("both").alias("both"))
+    enough = (F.col("shared") + F.col("left") - 1) * (100 + percent) >= F.col("both") * percent
+    return counted.where(enough).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -200,6 +207,7 @@ def near_duplicates(
     nodes = materialize(nodes, "minhash-nodes")
     in_bucket = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = in_bucket.groupBy("bucket").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialize(shared, "minhash-shared")
     members = materialize(in_bucket.join(shared.select("bucket", "least"), "bucket"), "minhash-buckets")
     wanted = members.select("node").distinct().join(nodes.select("node", "key"), "node")
     sets = materialize(_sets(docs, wanted, key=key, text=text, width=width), "minhash-sets")
@@ -216,7 +224,7 @@ def near_duplicates(
         mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
         return materialize(placed.join(mixed.select("bucket"), "bucket"), "minhash-open")
 
-    done = best.select(F.col("least").alias("a"), F.col("node").alias("b"))
+    done = materialize(best.select(F.col("least").alias("a"), F.col("node").alias("b")), "minhash-pairs")
     left = open_buckets(links)
     centre = left.where("node = least").select("bucket", F.col("root").alias("of"))
     pairs = left.join(centre, "bucket").where("root <> of").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
@@ -229,7 +237,7 @@ def near_duplicates(
     few = left.join(main, "bucket").where("root <> main").select("node").distinct().withColumn("few", F.lit(True))
     open_nodes = materialize(left.select("node", "root").distinct().join(few, "node", "left"), "minhash-open-nodes")
     rest = _prefix_pairs(open_nodes, sets, percent)
-    rest = materialize(rest.join(done, ["a", "b"], "left_anti").join(pairs, ["a", "b"], "left_anti"), "minhash-pairs")
+    rest = materialize(rest.join(done.unionByName(pairs), ["a", "b"], "left_anti"), "minhash-pairs")
     links = links.unionByName(_verified(rest, sets, percent))
 
     roots = components(links)
