@@ -262,8 +262,9 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width:
     odd = counted.where("n > 1 or not any").select(F.col("key").alias(id_), (F.col("any") & F.col("key").isNotNull()).alias("any"))
     odd = materialize(odd, "minhash-odd")
     at = F.col(key).cast("long") == F.col(id_)
-    single = docs.join(odd.select(id_), at, "left_anti")
-    many = docs.join(odd.where("any").select(id_), at, "left_semi").dropDuplicates([key])
+    # The same plan at every size: whether these ids fit a broadcast depends on the data.
+    single = docs.join(odd.select(id_).hint("merge"), at, "left_anti")
+    many = docs.join(odd.where("any").select(id_).hint("merge"), at, "left_semi").dropDuplicates([key])
     return single.unionByName(many)
 
 

@@ -113,7 +113,8 @@ class Model:
         context = SYMBOLS ** (ORDER - 1)
         low = self.lower.reshape(-1, SYMBOLS)
         dense = np.empty((context, SYMBOLS), np.float32)
-        np.multiply(self.weight[:, None], low[np.arange(context) % len(low)], out=dense, casting="unsafe")
+        for at in range(0, context, len(low)):  # the lower contexts repeat
+            np.multiply(self.weight[at : at + len(low), None], low, out=dense[at : at + len(low)], casting="unsafe")
         flat = dense.reshape(-1)
         flat[self.seen] += self.share
         np.log2(flat, out=flat)
@@ -298,12 +299,12 @@ def classify(
     return rows, model, most
 
 
-def _kept(bits: Column, lang: Column, most: dict) -> Column:
-    limit = F.lit(None).cast("double")
-    for name, value in most.items():
-        if value is not None:
-            limit = F.when(lang.eqNullSafe(F.lit(name)), F.lit(value)).otherwise(limit)
-    return limit
+def _limit(lang: Column, most: dict[str | None, float | None]) -> Column:
+    """The threshold of each language, one entry per language."""
+    pairs = [F.lit(x) for name, value in most.items() if value is not None for x in ("\0" if name is None else name, value)]
+    if not pairs:
+        return F.lit(None).cast("double")
+    return F.try_element_at(F.create_map(*pairs), F.coalesce(lang, F.lit("\0")))
 
 
 def keep_good(
@@ -330,7 +331,7 @@ def keep_good(
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     rows, _, most = classify(docs, read_table(spark, sf_dir, "labels"))
-    limit = _kept(F.col("bits"), F.col("lang"), most)
+    limit = _limit(F.col("lang"), most)
     return rows.select(
         F.col("key").alias("doc_id"), "lang",
         F.round(F.pow(F.lit(2.0), F.col("bits")), 4).alias("perplexity"),

@@ -43,7 +43,8 @@ from crestline.llm.common import (
 END_ID = 0
 KEYS_PER_BUCKET = 50_000
 ROWS_PER_READ = 2_048
-REMEMBERED = 450_000
+REMEMBERED = 400_000
+HASHED_AT_ONCE = 1 << 18
 ENTRY = np.dtype([("print", "<u4"), ("shard", "<u4"), ("row", "<u8"), ("rows", "<u4")])
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 
@@ -51,6 +52,17 @@ LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 # ---------------------------------------------------------------- encoding
 
 
+def _piece_hashes(code: np.ndarray, edges: np.ndarray, which: int) -> np.ndarray:
+    """Hashes of neighbouring pieces, some at a time to keep the working memory small."""
+    out, a = [], 0
+    while a < len(edges) - 1:
+        b = max(int(np.searchsorted(edges, edges[a] + HASHED_AT_ONCE, "right")) - 1, a + 1)
+        own = edges[a : b + 1] - edges[a]
+        out.append(span_hashes(code[edges[a] : edges[b]], own[:-1], own[1:], which))
+        a = b
+    return np.concatenate(out)
+
+
 class Encoder:
     """Token ids of texts, equal to the library's, with pieces remembered between texts."""
 
@@ -124,9 +136,9 @@ class Encoder:
 
     def _by_piece(self, all_text: str, code: np.ndarray, edges: np.ndarray, at: np.ndarray) -> list[bytes]:
         """Ids of each text, looking every distinct piece up once."""
-        hashes = span_hashes(code, edges[:-1], edges[1:])
+        hashes = _piece_hashes(code, edges, 0)
         _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-        again = span_hashes(code, edges[:-1], edges[1:], 1)
+        again = _piece_hashes(code, edges, 1)
         if (again[one][which] != again).any():  # two pieces share a hash: look all up
             one = which = np.arange(len(hashes))
         pieces = [all_text[a:b] for a, b in zip(edges[one].tolist(), edges[one + 1].tolist())]
