@@ -1,13 +1,22 @@
-"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
-
-The model is of characters, mapped to ``SYMBOLS`` symbols (letters a-z, one for capitals, one for
-digits, the common marks, shared places for the rest), and of order ``ORDER``.  Its size is
-therefore bounded by SYMBOLS ** ORDER entries whatever the corpus: that is what makes it safe to
-send to every task, so that scoring shuffles nothing.  Counts cover all trusted text: tasks
-count their texts and the counts meet by n-gram, then totals and continuation counts are joined
-to them by context, sharded by its value.
-
-A document's score is bits per symbol, its perplexity 2 to that power.  It is kept if the score
+"""Quality classifier: perplexity under an interpolated modified Kneser-Ney model of words.
+
+Words are what ASCII blanks part, as they stand: capitals, digits and all letters count.  The model
+is of word bigrams with an edge before and after each text; its tables grow with the trusted text
+and stay in Spark.  Below the single words stands their spelling, so that unknown words have a
+probability too: characters, mapped to ``SYMBOLS`` symbols, under a Kneser-Ney model of order
+``ORDER`` with at most SYMBOLS ** ORDER entries, which goes to every task.  The characters of a symbol share its
+probability evenly, and a word ends with a blank.
+
+The logarithm of p(w | v) is a sum: the spelling of w, a gain if w is known, the weight that v
+passes down if v is known, and a gain if both were seen together.  The bits of a document are
+therefore the sum of its spelling, found in its own task, and of one value per distinct n-gram:
+rows of (document, n-gram, count) are joined to the values, sharded by n-gram.  The values of at
+most ``HOT`` most frequent n-grams are added in the task instead, so that no frequent word meets
+in one place, and a Bloom filter of bounded size leaves out most n-grams the model does not know.
+
+Words backing off to single words do not see what a capital or a number follows, so the word
+model is interpolated log-linearly, in equal parts, with the running characters of the text.  A
+document's score is bits per word, the end included, its perplexity 2 to that power.  It is kept if the score
 is at most the quantile ``quantile`` in its language (of all languages where it has none) of the
 trusted documents held out of the training, one in ``HELD_OUT``: documents a model has seen
 score better than others like them.  Quantiles are found on a histogram of bins of ``BIN`` bits.
@@ -30,7 +39,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crestline.llm import bloom
-from crestline.llm.common import materialize, read_table, small_batches
+from crestline.llm.common import fresh, materialize, read_table, small_batches
+from crestline.llm.shingles import word_hashes
+from crestline.llm.spans import mix64
 
 SYMBOLS = 64
 ORDER = 4
@@ -38,7 +49,11 @@ QUANTILE = 0.995
 HELD_OUT = 4
 BIN = 0.002
 CHUNK = 1 << 20
+HOT = 1 << 18
 _MARKS = " .,;:!?'\"()-|/%"
+BLANK = 29
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_EDGES = np.array([0x5851F42D4C957F2D, 0x14057B7EF767814F], np.uint64)  # before and after a text
 
 
 @cache
@@ -207,6 +222,147 @@ def fit(trusted: DataFrame, text: str = "text") -> Model | None:
     return None
 
 
+@cache
+def symbol_bits() -> np.ndarray:
+    """Bits that tell a character from the others of its symbol, blanks none."""
+    out = np.log2(np.maximum(np.bincount(symbol_table(), minlength=SYMBOLS), 1))
+    out[BLANK] = 0
+    return out
+
+
+def spelling(bits: np.ndarray, texts: list[str | None]) -> np.ndarray:
+    """Bits to spell each word of all texts in turn, from nothing before it to the blank after it."""
+    s = np.frombuffer("".join((t or "") + " " for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    blank = (s == 32) | ((s >= 9) & (s <= 13))
+    edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1, append=1))
+    starts, ends = edge[0::2], edge[1::2]
+    if not len(starts):
+        return np.zeros(0)
+    size = ends - starts + 1
+    first = np.cumsum(size) - size
+    place = np.arange(size.sum()) - np.repeat(first, size)
+    s = np.where(blank, BLANK, symbol_table()[s]).astype(np.uint32)[place + np.repeat(starts, size)]
+    code = np.zeros(len(s), np.uint32)
+    for k in range(ORDER - 1, -1, -1):
+        back = np.full(len(s), BLANK, np.uint32)
+        back[k:] = s[: len(s) - k]
+        code = code * np.uint32(SYMBOLS) + np.where(place >= k, back, np.uint32(BLANK))
+    return np.add.reduceat(bits[code] + symbol_bits()[s], first)
+
+
+def end_bits(bits: np.ndarray) -> float:
+    """Bits to spell the end of a text, a word without letters."""
+    return float(bits[sum(BLANK * SYMBOLS**k for k in range(ORDER))])
+
+
+def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix64(mix64(v) * _STEP + w)
+
+
+def word_rows(bits: np.ndarray, run: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of all texts in turn with both edges of each, the bits to spell them, texts' numbers."""
+    hashed, counts = word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in run])
+    text = np.repeat(np.arange(len(run)), counts + 2)
+    last = np.cumsum(counts + 2) - 1
+    inner = np.ones(len(text), bool)
+    inner[last] = inner[last - counts - 1] = False
+    words, cost = np.empty(len(text), np.uint64), np.zeros(len(text))
+    words[inner], cost[inner] = hashed, spelling(bits, run)
+    words[last - counts - 1], words[last] = _EDGES
+    cost[last] = end_bits(bits)
+    return words, cost, text
+
+
+@dataclass(frozen=True)
+class Words:
+    """The model: spelling, bits to leave the known words, and a table (gram, gain) of n-grams."""
+
+    spell: Model
+    leave: float
+    gains: DataFrame
+    hot: tuple[np.ndarray, np.ndarray]  # the most frequent n-grams in order, and their gains
+    known: np.ndarray  # Bloom filter of all others
+
+
+def _gain(share: Column, below: Column) -> Column:
+    """Bits won by a discounted share over the bits it has without it."""
+    more = F.log2(share) + below
+    return F.when(share > 0, F.when(more > 50, more).otherwise(F.log2(1 + F.pow(F.lit(2.0), more)))).otherwise(0.0)
+
+
+def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
+    """A model of all trusted texts, or none without any."""
+    spell = fit(trusted, text)
+    if spell is None:
+        return None
+    spark = trusted.sparkSession
+    shared = spark.sparkContext.broadcast(spell)
+
+    def count(batches):
+        bits = shared.value.bits()
+        for b in batches:
+            for run in _groups(b.column(0).to_pylist()):
+                words, cost, text = word_rows(bits, run)
+                pair = np.flatnonzero(text[1:] == text[:-1])
+                _, at, n = np.unique(pair_keys(words[pair], words[pair + 1]), return_index=True, return_counts=True)
+                own = pair[at]
+                # The bits of a word once a run.
+                again = np.ones(len(own), bool)
+                again[np.unique(words[own + 1], return_index=True)[1]] = False
+                cols = [words[own].view(np.int64), words[own + 1].view(np.int64), n.astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(cost[own + 1], mask=again)], names=["v", "w", "n", "cost"])
+
+    def name(batches):
+        for b in batches:
+            v, w = (b.column(c).to_numpy().view(np.uint64) for c in ("v", "w"))
+            yield pa.RecordBatch.from_arrays([pa.array(pair_keys(v, w).view(np.int64)), b.column("gain"), b.column("often")], names=["gram", "gain", "often"])
+
+    named = trusted.select(F.col(text).alias("text")).where("text is not null and text <> ''")
+    pairs = named.mapInArrow(count, "v long, w long, n long, cost double").groupBy("v", "w").agg(
+        F.sum("n").alias("c"), F.max("cost").alias("cost")
+    )
+    pairs = materialize(pairs, "quality-pairs")
+    words = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.max("cost").alias("cost"), F.sum("c").alias("often"))
+    words = materialize(words, "quality-words")
+
+    def off(d: list[float]) -> Column:
+        return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+
+    own = off(_discounts(words))
+    whole = words.agg(F.sum("c").alias("total"), F.sum(own).alias("off")).first()
+    leave = float(np.log2(whole.total) - np.log2(whole.off))
+    below = F.col("cost") + leave
+    words = words.select("w", "often", "cost", _gain((F.col("c") - own) / float(whole.total), below).alias("gain"))
+    cut = off(_discounts(pairs))
+    # Bits that a context adds to whatever follows it unseen.
+    contexts = pairs.groupBy("v").agg(F.sum("c").alias("total"), F.sum(cut).alias("off"))
+    contexts = contexts.select("v", "total", (F.log2("total") - F.log2("off")).alias("down"))
+    single = (
+        words.select(F.col("w").alias("gram"), "gain", "often")
+        .unionByName(contexts.select(F.col("v").alias("gram"), (-F.col("down")).alias("gain"), F.col("total").alias("often")))
+        .groupBy("gram").agg(F.sum("gain").alias("gain"), F.max("often").alias("often"))
+    )
+    met = pairs.select("v", "w", "c").join(contexts.hint("merge"), "v").join(words.drop("often").hint("merge"), "w")
+    both = met.select(
+        "v", "w", _gain((F.col("c") - cut) / F.col("total"), F.col("down") + F.col("cost") + leave - F.col("gain")).alias("gain"),
+        F.col("c").alias("often"),
+    ).mapInArrow(name, "gram long, gain double, often long")
+    gains = materialize(single.unionByName(both), "quality-gains")
+    # The least power of two that no more than HOT n-grams reach: one row per power.
+    power = F.floor(F.log2("often"))
+    least, total = 63, 0
+    for p, n in sorted(gains.groupBy(power.alias("p")).count().collect(), reverse=True):
+        total += n
+        if total > HOT:
+            break
+        least = p
+    table = gains.where(power >= least).select("gram", "gain").toArrow()
+    gram, gain = table.column(0).to_numpy(), table.column(1).to_numpy()
+    order = np.argsort(gram)
+    rest = gains.where(power < least).select("gram", "gain")
+    return Words(spell, leave, rest, (gram[order], gain[order]), bloom.build(rest.select("gram")))
+
+
 def trusted_ids(labels: DataFrame, held_out: bool, key: str = "doc_id") -> DataFrame:
     """Ids of trusted documents: those trained on, or those held out to set thresholds."""
     out = F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_OUT)) == 0
@@ -217,7 +373,7 @@ def trusted_ids(labels: DataFrame, held_out: bool, key: str = "doc_id") -> DataF
     )
 
 
-def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> Words | None:
     """A model of the documents that labels call good and not toxic.
 
     The join by id would shuffle every text; a Bloom filter of the trusted ids, of bounded
@@ -236,26 +392,75 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     named = docs.select(F.col(key).cast("long").alias("trusted_id"), F.col(text).alias("text"))
     some = named.mapInArrow(pick, "trusted_id long, text string")
     # The same plan at every size: a shuffle of what is left.
-    return fit(some.join(ids.hint("merge"), "trusted_id", "left_semi"))
+    return fit_words(some.join(ids.hint("merge"), "trusted_id", "left_semi"))
 
 
-def scored(docs: DataFrame, model: Model | None, *, text: str = "text", extra: list[Column] | None = None) -> DataFrame:
-    """Extra columns of every row with ``bits`` per symbol (null without text or model)."""
+def _row_scores(bits: np.ndarray, leave: float, hot: tuple, known: np.ndarray, texts: list[str | None]):
+    """Words and bits of each text by what its task knows; text, n-gram and count of the rest."""
+    size, sums, rest = np.zeros(len(texts), np.int64), np.zeros(len(texts)), []
+    at = 0
+    for run in _groups(texts):
+        words, cost, text = word_rows(bits, run)
+        n = np.bincount(text, minlength=len(run)) - 1
+        size[at : at + len(run)] = n
+        running = [(x or 0.0) * len(t or "") for x, t in zip(score(bits, run), run)]
+        sums[at : at + len(run)] = np.bincount(text, cost, len(run)) + n * leave + running
+        pair = np.flatnonzero(text[1:] == text[:-1])
+        grams = np.concatenate([words, pair_keys(words[pair], words[pair + 1])]).view(np.int64)
+        of = np.concatenate([text, text[pair]])
+        place = np.minimum(np.searchsorted(hot[0], grams), max(len(hot[0]) - 1, 0))
+        if len(hot[0]):
+            found = hot[0][place] == grams
+            sums[at : at + len(run)] -= np.bincount(of[found], hot[1][place[found]], len(run))
+            grams, of = grams[~found], of[~found]
+        some = bloom.maybe(known, grams)
+        grams, of = grams[some], of[some]
+        order = np.lexsort((grams, of))
+        grams, of = grams[order], of[order]
+        new = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (of[1:] != of[:-1])])) if len(of) else np.zeros(0, np.int64)
+        rest.append((at + of[new], grams[new], np.diff(new, append=len(of))))
+        at += len(run)
+    text, grams, n = (np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, np.int64),) * 3
+    return size, sums, text, grams, n
+
+
+def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: list[Column] | None = None) -> DataFrame:
+    """Extra columns of every row with ``bits`` per word (null without text)."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
     named = docs.select(*(extra or []), F.col(text).alias("_text"))
     kept = named.columns[:-1]
+    if model is None:
+        return named.select(*kept, F.when(F.length("_text") > 0, 0.0).alias("bits"))
+    shared = spark.sparkContext.broadcast((model.spell, model.leave, model.hot, model.known))
+    named = named.select(F.monotonically_increasing_id().alias("_row"), F.struct(*kept).alias("_own") if kept else F.lit(0).alias("_own"), "_text")
+    own = dict(named.dtypes)["_own"]
 
     def scan(batches):
-        bits = shared.value.bits() if shared.value else None
+        spell, leave, hot, known = shared.value
+        bits = spell.bits()
         for b in batches:
             texts = b.column("_text").to_pylist()
-            out = score(bits, texts) if bits is not None else [0.0 if t else None for t in texts]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(out, pa.float64())], names=[*kept, "bits"])
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in named.dtypes[:-1])
-    return named.mapInArrow(scan, f"{schema}{', ' if schema else ''}bits double")
+            size, sums, of, grams, n = _row_scores(bits, leave, hot, known, texts)
+            row = b.column("_row").to_numpy()
+            names = ["row", "gram", "n", "bits", "own"]
+            # The row of the text itself has an n-gram that spreads it and no count.
+            empty = pa.array([not t for t in texts], pa.bool_())
+            total = pa.array(sums / (2 * size), mask=empty.to_numpy(zero_copy_only=False))
+            spread = mix64(row.view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(spread), pa.nulls(len(row), pa.float64()), total, b.column("_own")], names=names)
+            has = np.array([bool(t) for t in texts], bool)[of]
+            of, grams, n = of[has], grams[has], n[has]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[of]), pa.array(grams), pa.array(n / (2 * size[of])), pa.nulls(len(of), pa.float64()), pa.nulls(len(of), b.column("_own").type)], names=names
+            )
+
+    rows = named.mapInArrow(scan, f"row long, gram long, n double, bits double, own {own}")
+    met = rows.join(model.gains.hint("merge"), "gram", "left")
+    met = met.groupBy("row").agg(
+        F.max("bits").alias("bits"), F.sum(F.col("n") * F.coalesce("gain", F.lit(0.0))).alias("gain"), F.first("own", True).alias("own")
+    )
+    return met.select(*[F.col("own").getField(c).alias(c) for c in kept], F.round(F.col("bits") - F.coalesce("gain", F.lit(0.0)), 6).alias("bits"))
 
 
 def thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -287,7 +492,7 @@ def thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
 def classify(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang",
     quantile: float = QUANTILE,
-) -> tuple[DataFrame, Model | None, dict[str | None, float | None]]:
+) -> tuple[DataFrame, Words | None, dict[str | None, float | None]]:
     """Scores of all documents (key, lang, bits, most, kept), the model and the thresholds."""
     model = train(docs, labels, key=key, text=text)
     rows = materialize(
@@ -311,21 +516,35 @@ def keep_good(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang",
     quantile: float = QUANTILE,
 ) -> DataFrame:
-    """The documents that are kept, whole rows as they are."""
-    _, model, most = classify(docs, labels, key=key, text=text, lang=lang, quantile=quantile)
-    shared = docs.sparkSession.sparkContext.broadcast((model, most))
-    at, of = docs.columns.index(text), docs.columns.index(lang)
+    """The documents that are kept, whole rows as they are.
 
-    def scan(batches):
-        model, most = shared.value
-        bits = model.bits() if model else None
-        for b in batches:
-            texts = b.column(at).to_pylist()
-            found = score(bits, texts) if bits is not None else [0.0 if t else None for t in texts]
-            limit = [most.get(g) for g in b.column(of).to_pylist()]
-            yield b.filter(pa.array([f is not None and (m is None or f <= m) for f, m in zip(found, limit)], pa.bool_()))
-
-    return docs.mapInArrow(scan, docs.schema)
+    A verdict depends on text and language alone, so rows are told by a hash of them and the id; a
+    Bloom filter of those that leave keeps most of the others out of the join.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    mark = F.xxhash64(F.col(key).cast("long"), F.col(text), F.col(lang).cast("string"))
+    marked = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(key).cast("long").alias("key"), mark.alias("mark"))
+    model = train(docs, labels, key=key, text=text)
+    rows = materialize(scored(marked, model, extra=[F.col("key"), F.col("lang"), F.col("mark")]), "quality-scores")
+    most = {r.lang: r.most for r in thresholds(rows, labels, quantile).collect()}
+    limit = _limit(F.col("lang"), most)
+    stays = F.col("bits").isNotNull() & (limit.isNull() | (F.col("bits") <= limit))
+    name = fresh(docs, "mark")
+    bad = materialize(rows.where(~stays).select(F.col("mark").alias(name)).distinct(), "quality-rejected")
+    shared = spark.sparkContext.broadcast(bloom.build(bad))
+    held = docs.withColumn(name, mark)
+
+    def pick(some: bool):
+        def scan(batches):
+            for b in batches:
+                maybe = bloom.maybe(shared.value, b.column(b.num_columns - 1).to_numpy(zero_copy_only=False))
+                yield b.filter(pa.array(maybe if some else ~maybe, pa.bool_()))
+
+        return held.mapInArrow(scan, held.schema)
+
+    # The same plan at every size, as the number that leaves depends on the data.
+    return pick(False).unionByName(pick(True).join(bad.hint("merge"), name, "left_anti")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 
 import edge
@@ -86,3 +87,68 @@ def test_edges(spark):
     nothing = quality.keep_good(docs, labels.where("doc_id = 99"))
     assert nothing.count() == sum(1 for r in edge.rows() if r[1])
     assert quality.keep_good(edge.empty(spark), labels).count() == 0
+
+
+def brute_words(trusted: list[str], spell):
+    """Bits of a word after another, straight from the definition."""
+    bits = spell.bits()
+    pairs = Counter(p for t in trusted if t for w in [["<", *t.split(), ">"]] for p in zip(w, w[1:]))
+    single = Counter(w for _, w in pairs)
+
+    def discounts(c: Counter) -> list[float]:
+        n = Counter(c.values())
+        y = n[1] / (n[1] + 2 * n[2])
+        d = [j - (j + 1) * y * n[j + 1] / n[j] if n[j] else j / 2 for j in (1, 2, 3)]
+        return [min(max(x, 0.1), j) for x, j in zip(d, (1, 2, 3))]
+
+    d1, d2 = discounts(single), discounts(pairs)
+
+    def spelled(w: str) -> float:
+        s = [quality.BLANK] * (N - 1) + [int(quality.symbol_table()[ord(c)]) for c in w.strip("<>")] + [quality.BLANK]
+        codes = [sum(x * S ** (N - 1 - k) for k, x in enumerate(s[i - N + 1 : i + 1])) for i in range(N - 1, len(s))]
+        return float(sum(bits[c] for c in codes) + sum(quality.symbol_bits()[x] for x in s[N - 1 :]))
+
+    def p(v: str, w: str) -> float:
+        whole = sum(single.values())
+        low = sum(d1[min(n, 3) - 1] for n in single.values()) / whole * 2 ** -spelled(w)
+        if single[w]:
+            low += max(single[w] - d1[min(single[w], 3) - 1], 0) / whole
+        own = {b: n for (a, b), n in pairs.items() if a == v}
+        if not own:
+            return low
+        seen = max(own[w] - d2[min(own[w], 3) - 1], 0) if w in own else 0
+        return (seen + sum(d2[min(n, 3) - 1] for n in own.values()) * low) / sum(own.values())
+
+    return p
+
+
+@pytest.mark.parametrize("hot", [0, 20, 1 << 18])
+def test_words_equal_definition(spark, monkeypatch, hot):
+    monkeypatch.setattr(quality, "HOT", hot)
+    trusted = [edge.prose(i, 60) for i in range(6)] + ["Ab 12 ab\tab é", "", " \n"]
+    model = quality.fit_words(spark.createDataFrame([(t,) for t in [*trusted, None]], "text string").repartition(2))
+    probes = [edge.prose(3, 20), " Ab  12 ab zzz 漢字 ", "new", " ", "Cher, " * 30, "", None]
+    docs = spark.createDataFrame(list(enumerate(probes)), "id int, text string").repartition(2)
+    got = {r.id: r.bits for r in quality.scored(docs, model, extra=[quality.F.col("id")]).collect()}
+    p, dense = brute_words(trusted, model.spell), model.spell.bits()
+    for i, t in enumerate(probes):
+        if not t:
+            assert got[i] is None
+            continue
+        w = ["<", *t.split(), ">"]
+        words = -sum(np.log2(p(a, b)) for a, b in zip(w, w[1:]))
+        assert got[i] == pytest.approx((words + quality.score(dense, [t])[0] * len(t)) / 2 / (len(w) - 1), abs=1e-4)
+
+
+def test_words_are_counted_as_they_stand(spark):
+    """Texts alike in every symbol of the spelling are told apart by their words, and the tables grow."""
+    r = random.Random(1)
+    texts = [" ".join(str(int(100 + 900 * r.random() ** 3)) for _ in range(12)) for _ in range(300)]
+    few, many = (quality.fit_words(spark.createDataFrame([(t,) for t in texts[:k]], "text string")) for k in (30, 300))
+    size = lambda m: m.gains.count() + len(m.hot[0])
+    assert size(many) > 4 * size(few)
+    seen = Counter(w for t in texts for w in t.split())
+    common, strange = seen.most_common(1)[0][0], next(str(n) for n in range(999, 99, -1) if str(n) not in seen)
+    docs = spark.createDataFrame([(common,), (strange,)], "text string")
+    got = {r.t: r.bits for r in quality.scored(docs, many, extra=[quality.F.col("text").alias("t")]).collect()}
+    assert got[common] < got[strange] - 0.5
