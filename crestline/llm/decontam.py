@@ -13,7 +13,8 @@ block are all that is sent to the tasks.  Documents are neither shuffled nor joi
 
 Defined cases: null or empty texts match nothing; null or empty items, or items without letters
 and digits, match nothing; items with equal text are each reported; an item shorter than
-1 / rate characters must match exactly; repeated documents each give their rows.
+1 / rate characters must match exactly; repeated documents each give their rows; an item repeated
+with its id, as normalised, counts once.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crestline.llm.common import read_table, small_batches
+from crestline.llm.common import materialize, read_table, small_batches
 
 RATE = 0.08
 BLOCK_CHARS = 2_000_000
@@ -134,13 +135,21 @@ class Matcher:
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, str]]]:
     """Items by blocks of about BLOCK_CHARS characters, so what the driver holds is bounded."""
+    spark = benchmark.sparkSession
+    small_batches(spark)
+
+    def normal(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([normalised(t) for t in b.column(1).to_pylist()], pa.string())], names=["i", "t"])
+
     named = benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
+    # Repeats of an item would all fall into one block.
+    named = materialize(named.mapInArrow(normal, "i long, t string").where("t <> ''").distinct(), "decontam-items")
     volume = named.agg(F.sum(F.length("t"))).first()[0] or 0
     count = -(-volume // BLOCK_CHARS)
     for b in range(count):
         rows = named.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == b).collect()
-        items = sorted((r.i, normalised(r.t)) for r in rows)
-        yield [x for x in items if x[1]]
+        yield sorted((r.i, r.t) for r in rows)
 
 
 def matches(

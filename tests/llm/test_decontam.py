@@ -64,6 +64,18 @@ def test_edges(spark, monkeypatch):
     assert decontam.matches(docs, items.limit(0)).count() == 0 and decontam.keep_clean(docs, items.limit(0)).count() == docs.count()
 
 
+def test_repeated_items_are_held_once(spark, monkeypatch):
+    item = edge.prose(8, 20)
+    rows = [(1, item)] * 200 + [(1, item.upper())] * 50 + [(2, edge.prose(9, 20)), (3, edge.prose(10, 20))]
+    items = benchmark(spark, rows).repartition(3)
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 300)
+    blocks = list(decontam._blocks(items, "item_id", "text"))
+    assert sorted(i for b in blocks for i, _ in b) == [1, 2, 3] and len(blocks) < 5
+    docs = spark.createDataFrame([(1, "before " + item + " after")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.matches(docs, items).collect()] == [(1, 1)]
+    assert decontam.keep_clean(docs, items).count() == 0
+
+
 def test_query_finds_what_contains_an_item(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
