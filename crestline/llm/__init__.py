@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from crestline.llm import (
     decontam, langid, licenses, minhash, mixing, quality, secrets, suffix_dedup, token_store, topk,
+    whitening,
 )
 
 
@@ -19,6 +20,7 @@ def queries() -> dict:
         "op8_license_scan": licenses.op8_license_scan,
         "op9_decontamination": decontam.op9_decontamination,
         "op10_source_mixing": mixing.op10_source_mixing,
+        "op13_embedding_whitening": whitening.op13_embedding_whitening,
     }
 
 
