@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from crestline.llm import (
-    decontam, langid, lexical, licenses, minhash, mixing, quality, secrets, suffix_dedup, token_store,
+    decontam, extraction, langid, lexical, licenses, minhash, mixing, quality, secrets, suffix_dedup, token_store,
     topk, whitening,
 )
 
@@ -20,6 +20,7 @@ def queries() -> dict:
         "op8_license_scan": licenses.op8_license_scan,
         "op9_decontamination": decontam.op9_decontamination,
         "op10_source_mixing": mixing.op10_source_mixing,
+        "op11_html_extraction": extraction.op11_html_extraction,
         "op12_lexical_search": lexical.op12_lexical_search,
         "op13_embedding_whitening": whitening.op13_embedding_whitening,
     }
@@ -31,5 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_topk_search": topk.TOPK_SQL,
         "op6_secret_scan": secrets.SECRETS_SQL,
         "op8_license_scan": licenses.LICENSES_SQL,
+        "op11_html_extraction": extraction.op11_html_extraction,
         "op12_lexical_search": lexical.LEXICAL_SQL,
     }
