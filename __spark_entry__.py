@@ -69,6 +69,9 @@ def queries() -> dict[str, Query]:
         "noop_stream": reports.noop_stream,
         "interval_join_stream": reports.interval_join_stream,
         "tumbling_totals_stream": reports.tumbling_totals_stream,
+        "hopping_totals_stream": reports.hopping_totals_stream,
+        "hopping_distinct_approx_stream": reports.hopping_distinct_approx_stream,
+        "top_pages_hot_user_stream": reports.top_pages_hot_user_stream,
     }
 
 
@@ -91,6 +94,10 @@ pairs AS (
    AND v.viewed_at >= u.registertime AND v.viewed_at <= u.registertime + INTERVAL 7 DAYS
 )"""
 
+# Page views by themselves, in the shape of pairs.
+_ALONE = """
+pairs AS (SELECT userid, viewtime, pageid, viewed_at, 'any' AS gender FROM views)"""
+
 
 def _hopping(size: int, slide: int, extra: str = "") -> str:
     """Windows from the slide-aligned start at or before a view, back over the size."""
@@ -127,6 +134,13 @@ def _query(*parts: str, select: str) -> str:
     return f"WITH {','.join(parts)}\n{select}"
 
 
+# A third of both streams made one user's.
+_HOT = ["""
+hot_views AS (SELECT * REPLACE (CASE WHEN epoch_us(viewed_at) % 3 = 0 THEN 1 ELSE userid END AS userid) FROM views)""",
+        """
+hot_users AS (SELECT * REPLACE (CASE WHEN epoch_us(registertime) % 3 = 0 THEN 1 ELSE userid END AS userid) FROM users)"""]
+
+
 def oracle_sql() -> dict[str, str]:
     weekly = _hopping(_WEEK, _DAY, _USERS_TOO)
     per_window = _ranked("gender, window_start")
@@ -204,10 +218,7 @@ FROM pairs GROUP BY userid, viewtime, pageid, viewed_at, gender""",
         "pageviews_from_table": views,
         "interval_join_hot_user": _query(
             _STREAMS,
-            """
-hot_views AS (SELECT * REPLACE (CASE WHEN epoch_us(viewed_at) % 3 = 0 THEN 1 ELSE userid END AS userid) FROM views)""",
-            """
-hot_users AS (SELECT * REPLACE (CASE WHEN epoch_us(registertime) % 3 = 0 THEN 1 ELSE userid END AS userid) FROM users)""",
+            *_HOT,
             select="""
 SELECT v.userid, v.pageid, u.gender, count(*) AS matches, CAST(sum(viewtime) AS BIGINT) AS total_viewtime
 FROM hot_views v JOIN hot_users u ON v.userid = u.userid
@@ -277,4 +288,15 @@ SELECT pageid, date_trunc('day', viewed_at) AS window_start,
        count(DISTINCT userid) AS distinct_userid_count
 FROM views GROUP BY ALL""",
         ),
+        "hopping_totals_stream": _query(
+            _STREAMS, _ALONE, weekly, select="SELECT * EXCLUDE (gender) FROM totals"
+        ),
+        "hopping_distinct_approx_stream": _query(
+            _STREAMS, _ALONE, _hopping(_WEEK, _DAY),
+            select="SELECT * EXCLUDE (gender), TRUE AS within_error FROM totals",
+        ),
+        "top_pages_hot_user_stream": _query(
+            _STREAMS, *_HOT, _PAIRS.replace("views v", "hot_views v").replace("users u", "hot_users u"),
+            weekly, per_window, select="SELECT * FROM ranked",
+        ),
     }

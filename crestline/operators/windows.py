@@ -44,7 +44,9 @@ def hopping_agg(
 
     ``distinct`` is ``exact``, ``approx`` (HyperLogLog with relative error ``rsd``) or
     ``None`` for the sum alone.  Windows carry TIMESTAMP bounds, whatever kind the time is.  A slide equal to the size gives tumbling windows.  On a
-    stream, ``time`` needs a watermark and the result is meant for append mode.
+    stream, ``time`` needs a watermark and the result is meant for append mode; windows that overlap
+    are put together from panes there, so a row counts in all of its windows, or in none if its
+    pane is behind the watermark.
     """
     check_window(size_seconds, slide_seconds)
     if distinct not in DISTINCT_MODES:
@@ -62,16 +64,31 @@ def hopping_agg(
             df, time, size_seconds, slide_seconds, group, measure, entity if distinct else None,
             distinct, rsd, total, distinct_total,
         )
+    exact = [entity] if distinct == "exact" else []
+    sketch, distinct_of = [], F.approx_count_distinct(entity, rsd) if entity else None
+    if size_seconds != slide_seconds:
+        # Rows enter state once, in the pane they lie in; only its sums are copied to windows.
+        if distinct == "approx":
+            sketch = [F.hll_sketch_agg(F.col(entity).cast("string"), F.lit(_cells(rsd))).alias("_sketch")]
+            distinct_of = F.hll_sketch_estimate(F.hll_union_agg("_sketch"))
+        pane = F.window(time, _seconds(math.gcd(size_seconds, slide_seconds))).alias("_pane")
+        df = df.groupBy(*group, *exact, pane).agg(F.sum(measure).alias("_sum"), *sketch)
+        measure, summed = F.col("_sum"), F.sum("_sum").alias(total)
+        window = F.window(F.window_time("_pane"), _seconds(size_seconds), _seconds(slide_seconds))
     if distinct is None:
         return df.groupBy(*group, window).agg(summed)
     if distinct == "approx":
-        users = F.approx_count_distinct(entity, rsd).alias(distinct_total)
-        return df.groupBy(*group, window).agg(summed, users)
+        return df.groupBy(*group, window).agg(summed, distinct_of.alias(distinct_total))
     return _exact_on_stream(
         df, window, size_seconds, slide_seconds, group, measure, entity, total, distinct_total
     )
 
 
+def _cells(rsd: float) -> int:
+    """Logarithm of a sketch's cells: the standard error of 2**k is below 1.04 / sqrt(2**k)."""
+    return min(max(math.ceil(2 * math.log2(1.04 / rsd)), 4), 21)
+
+
 def _by_panes(
     df, time, size_seconds, slide_seconds, group, measure, entity, distinct, rsd, total, distinct_total
 ) -> DataFrame:
@@ -89,9 +106,7 @@ def _by_panes(
     keys = [*group, entity] if entity and not sketched else list(group)
     sums = [F.sum(measure).alias("_sum")]
     if sketched:
-        # Standard error of a sketch of 2**k cells is below 1.04 / sqrt(2**k).
-        k = min(max(math.ceil(2 * math.log2(1.04 / rsd)), 4), 21)
-        sums.append(F.hll_sketch_agg(F.col(entity).cast("string"), F.lit(k)).alias("_sketch"))
+        sums.append(F.hll_sketch_agg(F.col(entity).cast("string"), F.lit(_cells(rsd))).alias("_sketch"))
     per_pane = (
         df.where(F.col(time).isNotNull())
         .groupBy(*keys, (at - F.pmod(at, F.lit(pane))).alias("_pane"))

@@ -485,15 +485,49 @@ def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(_written(spark, config), "viewed_at")
 
 
-def tumbling_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _page_totals(spark: SparkSession, sf_dir: str, **window) -> DataFrame:
     configure(spark)
     full = _pipeline(shared_dir(spark, "page-totals"), delay_seconds=HOUR)
     config = replace(
-        full,
-        sources=full.sources[:1],
-        transform="pageTotals",
-        window=WindowConfig(size_seconds=DAY, slide_seconds=DAY),
+        full, sources=full.sources[:1], transform="pageTotals", window=WindowConfig(**window)
     )
     views = {"page-topic": _view_messages(spark, sf_dir)}
     feed(spark, config, [views, flush_step(spark, config)])
     return _flat(_written(spark, config).where(F.col("window.end") < F.lit(FLUSH_TIME)))
+
+
+def tumbling_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _page_totals(spark, sf_dir, size_seconds=DAY, slide_seconds=DAY)
+
+
+def hopping_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping windows of a stream, put together from panes of a day."""
+    return _page_totals(spark, sf_dir, size_seconds=WEEK, slide_seconds=DAY)
+
+
+def hopping_distinct_approx_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """View time, and whether merged sketches of panes are as near as stated (see the batch one)."""
+    guess = _page_totals(spark, sf_dir, size_seconds=WEEK, slide_seconds=DAY, distinct="approx")
+    exact = _flat(
+        hopping_agg(
+            pageviews_from_events(spark, sf_dir), group=["pageid"], measure="viewtime", entity="userid", **WEEKLY
+        )
+    ).select("pageid", "window_start", F.col("distinct_userid_count").alias("exact"))
+    near = F.abs(F.col("distinct_userid_count") - F.col("exact")) <= 1 + 0.2 * F.col("exact")
+    both = guess.join(exact, ["pageid", "window_start"], "left")
+    return both.withColumn("within_error", F.coalesce(near, F.lit(False))).drop("distinct_userid_count", "exact")
+
+
+def _one_user(messages: DataFrame) -> DataFrame:
+    """A third of all messages made those of one user, by their time in microseconds."""
+    hot = F.regexp_replace("value", '"userid":"[^"]*"', '"userid":"1"')
+    return messages.withColumn("value", F.when(F.unix_micros("timestamp") % 3 == 0, hot).otherwise(F.col("value")))
+
+
+def top_pages_hot_user_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaderboard as a stream when one user makes a third of all views and registrations."""
+    configure(spark)
+    config = _pipeline(shared_dir(spark, "hot-user"), delay_seconds=HOUR)
+    messages = {name: _one_user(rows) for name, rows in _messages(spark, sf_dir).items()}
+    feed(spark, config, [messages, flush_step(spark, config)])
+    return _flat(_written(spark, config))

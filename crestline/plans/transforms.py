@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crestline.config import PipelineConfig
-from crestline.operators import hopping_agg, join_within, match_within, top_n, top_n_latest
+from crestline.operators import hopping_agg, hopping_agg_within, match_within, top_n, top_n_latest
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
@@ -54,20 +54,25 @@ class TopPagesByGroup:
             "bound_seconds": self.window.join_bound_seconds,
         }
         if views.isStreaming:
-            joined = join_within(
-                views, users, right_columns=["gender"], salts=self.window.salts, **keys
+            return hopping_agg_within(
+                views,
+                users,
+                attribute="gender",
+                item="pageid",
+                measure="viewtime",
+                size_seconds=self.window.size_seconds,
+                slide_seconds=self.window.slide_seconds,
+                distinct=self.window.distinct,
+                **keys,
             )
-            viewtime = F.col("viewtime")
-        else:
-            joined = match_within(views, users, attributes=["gender"], **keys)
-            viewtime = F.col("viewtime") * F.col("matches")
+        joined = match_within(views, users, attributes=["gender"], **keys)
         return hopping_agg(
             joined,
             time="_viewed",
             size_seconds=self.window.size_seconds,
             slide_seconds=self.window.slide_seconds,
             group=["gender", "pageid"],
-            measure=viewtime,
+            measure=F.col("viewtime") * F.col("matches"),
             entity="userid",
             distinct=self.window.distinct,
         )
