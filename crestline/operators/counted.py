@@ -15,6 +15,9 @@
 So a row enters two states, one after the other, and is copied to windows only as part of a pane
 of its key.  A hot key is spread over its slots; no state row holds more than a key's slot.
 
+What arrives and what leaves the first state are observed metrics, from which late rows are counted
+exactly (``streaming.pipeline.RowCounts``).
+
 A window is emitted when the slot that its end lies in is final: at most a slot after the window.
 
 Defined cases: rows with a null key or time match nothing; equal rows count as often as they are
@@ -32,6 +35,9 @@ from pyspark.sql import functions as F
 from crestline.operators.windows import check_window
 
 MICROS = 1_000_000
+
+# Observed metrics of a trigger: rows of both sides that came, and rows that left the first aggregation.
+ARRIVED, PASSED = "arrived", "passed"
 _SWEPT = "array<struct<attribute:string,item:string,pane:bigint,total:bigint>>"
 
 
@@ -156,9 +162,10 @@ def hopping_agg_within(
     rows = named(left, left_time, False, _item=F.col(item), _value=F.col(measure)).unionByName(
         named(right, right_time, True, _attribute=F.col(attribute))
     )
+    rows = rows.observe(ARRIVED, F.count(F.lit(1)).alias("rows"))
     equal = rows.groupBy("_key", "_right", "_attribute", "_item", "_at").agg(
         F.sum("_value").alias("_value"), F.count(F.lit(1)).alias("_n")
-    )
+    ).observe(PASSED, F.sum("_n").alias("rows"))
 
     # Windows of two slots, one slot apart: each row lies in two of them.
     placed = equal.withColumn("_slot", F.window("_at", f"{2 * slot} seconds", f"{slot} seconds"))

@@ -13,6 +13,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from crestline.config import PipelineConfig, SinkConfig, SourceConfig, WindowConfig
 from crestline.functions import decode_json, encode_value, rejected_json, with_event_time
@@ -22,7 +23,7 @@ from crestline.plans.applications import launch
 from crestline.plans.transforms import NoOp, TopPagesByGroup, register_transform
 from crestline.schemas import PAGEVIEWS, USERS
 from crestline.session import configure, shared_dir
-from crestline.streaming.pipeline import run_batch
+from crestline.streaming.pipeline import RowCounts, run_batch
 from crestline.streaming.replay import (
     FLUSH_TIME,
     as_messages,
@@ -31,6 +32,7 @@ from crestline.streaming.replay import (
     flush_step,
     time_slices,
 )
+from crestline.streaming.state import open_state
 
 DAY = 86_400
 WEEK = 7 * DAY
@@ -391,22 +393,47 @@ def pageviews_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(run_batch(spark, PipelineConfig((source,), sink, transform="noOp")), "viewed_at")
 
 
-def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The leaderboard when the views of some pages arrive after everything else.
-
-    Of those, the ones behind the watermark (a week) are dropped, the others still count.
-    """
-    configure(spark)
+def _late_pages(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, list[StreamingQuery]]:
     config = _pipeline(shared_dir(spark, "late-rows"), delay_seconds=WEEK)
     messages = _messages(spark, sf_dir)
     page = F.regexp_extract(F.get_json_object("value", "$.pageid"), r"_(\d+)$", 1).cast("int")
     views = messages["page-topic"]
     on_time = {**messages, "page-topic": views.where(page < PAGES_FROM_LATE_SOURCES)}
     late = {"page-topic": views.where(page >= PAGES_FROM_LATE_SOURCES)}
-    feed(spark, config, [on_time, late, flush_step(spark, config)])
+    return config, feed(spark, config, [on_time, late, flush_step(spark, config)])
+
+
+def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaderboard when the views of some pages arrive after everything else.
+
+    Of those, the ones behind the watermark (a week) are dropped, the others still count.
+    """
+    configure(spark)
+    config, _ = _late_pages(spark, sf_dir)
     return _flat(_written(spark, config))
 
 
+def late_rows_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows that stream dropped, exactly."""
+    configure(spark)
+    counts = RowCounts()
+    spark.streams.addListener(counts)
+    try:
+        config, runs = _late_pages(spark, sf_dir)
+        late = counts.late_rows(spark, runs, config.sink.checkpoint)
+    finally:
+        spark.streams.removeListener(counts)
+    return spark.range(1).select(F.lit(late).cast("long").alias("late_rows"))
+
+
+def open_state_after_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the leaderboard's operators hold once all is flushed: the two flush messages."""
+    configure(spark)
+    config = _pipeline(shared_dir(spark, "open-state"), delay_seconds=HOUR)
+    feed(spark, config, [_messages(spark, sf_dir), flush_step(spark, config)])
+    return open_state(spark, config.sink.checkpoint).select("operator_id", "rows")
+
+
 def noop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page views passed through a pipeline unchanged."""
     configure(spark)

@@ -1,4 +1,8 @@
-from crestline.streaming.pipeline import DroppedRows, recently_dropped, run_batch, run_pipeline
+from crestline.streaming.pipeline import DroppedRows, RowCounts, recently_dropped, run_batch, run_pipeline
 from crestline.streaming.sinks import get_sink, register_sink
 
-__all__ = ["DroppedRows", "get_sink", "recently_dropped", "register_sink", "run_batch", "run_pipeline"]
+from crestline.streaming.state import open_state
+
+__all__ = [
+    "DroppedRows", "RowCounts", "get_sink", "open_state", "recently_dropped", "register_sink", "run_batch", "run_pipeline",
+]

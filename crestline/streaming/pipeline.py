@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from crestline.config import PipelineConfig
 from crestline.functions.messages import rejected_json
+from crestline.operators.counted import ARRIVED, PASSED
 from crestline.plans.transforms import get_transform
 from crestline.schemas import get_schema
 from crestline.session import configure
 from crestline.sources.readers import get_reader, load_inputs
 from crestline.streaming.sinks import get_sink
+from crestline.streaming.state import open_input_rows
 
 
 def start_rejects(spark: SparkSession, config: PipelineConfig) -> list[StreamingQuery]:
@@ -92,6 +96,47 @@ class DroppedRows(StreamingQueryListener):
         pass
 
 
+class RowCounts(StreamingQueryListener):
+    """Adds up the rows that a counted leaderboard observes, over all triggers and restarts.
+
+    Its first aggregation has one count for equal rows and drops only what its own time puts behind
+    the watermark.  So what arrived, less what has left it, less what it still holds, are the late
+    rows: an exact number, however many triggers there were.  Register it with
+    ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self._rows: dict[str, dict[str, int]] = {}
+        self._ended: set[str] = set()
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self._changed:
+            of = self._rows.setdefault(str(event.progress.id), {})
+            for name, row in event.progress.observedMetrics.items():
+                of[name] = of.get(name, 0) + (row["rows"] or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def late_rows(self, spark: SparkSession, queries: list[StreamingQuery], checkpoint: str, wait_seconds: float = 60) -> int:
+        """Late rows of a query that has ended, given its runs, all of the same checkpoint."""
+        runs = {str(q.runId) for q in queries}
+        with self._changed:
+            if not self._changed.wait_for(lambda: runs <= self._ended, wait_seconds):
+                raise TimeoutError("a run's progress has not been reported yet; is it stopped?")
+            of = self._rows.get(str(queries[0].id), {})
+        return of.get(ARRIVED, 0) - of.get(PASSED, 0) - open_input_rows(spark, checkpoint)
+
+
 def recently_dropped(query: StreamingQuery) -> int:
     """What ``DroppedRows`` counts, over the triggers the query still remembers."""
     return sum(
