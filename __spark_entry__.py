@@ -50,6 +50,7 @@ def queries() -> dict[str, Query]:
         "top_pages_latest_window": reports.top_pages_latest_window,
         "top_pages_latest_by_group": reports.top_pages_latest_by_group,
         "top_pages_latest_stream": reports.top_pages_latest_stream,
+        "top_pages_latest_triggers": reports.top_pages_latest_triggers,
         "top_pages_launched": reports.top_pages_launched,
         "pageviews_from_table": reports.pageviews_from_table,
         "interval_join_hot_user": reports.interval_join_hot_user,
@@ -216,6 +217,29 @@ FROM pairs GROUP BY userid, viewtime, pageid, viewed_at, gender""",
         "top_pages_latest_window": latest,
         "top_pages_latest_by_group": latest,
         "top_pages_latest_stream": latest,
+        # Three slices of time and a flush; a window closes with the slot of a week its end lies in.
+        "top_pages_latest_triggers": _query(
+            _STREAMS, _PAIRS, weekly, per_window,
+            """
+cuts AS (
+  SELECT k, min(epoch_us(viewed_at)) + k * (max(epoch_us(viewed_at)) - min(epoch_us(viewed_at))) / 3.0 AS cut
+  FROM views, range(1, 4) r(k) GROUP BY k
+),
+marks AS (
+  SELECT k, (least(
+      (SELECT max(epoch_us(viewed_at)) FROM views WHERE k = 3 OR epoch_us(viewed_at) < cut),
+      (SELECT max(epoch_us(registertime)) FROM users WHERE k = 3 OR epoch_us(registertime) < cut)
+    ) // 1000) * 1000 - 3600000000 AS mark
+  FROM cuts
+),
+closed AS (
+  SELECT DISTINCT window_end,
+         (SELECT count(*) FROM marks WHERE mark < (epoch_us(window_end) + 604799999999) // 604800000000 * 604800000000) AS slice
+  FROM (SELECT DISTINCT window_end FROM totals)
+),
+published AS (SELECT max(window_end) AS window_end FROM closed GROUP BY slice)""",
+            select="SELECT ranked.* FROM ranked JOIN published USING (window_end)",
+        ),
         "top_pages_launched": flagship,
         "pageviews_from_table": views,
         "interval_join_hot_user": _query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from crestline.config import PipelineConfig
 from crestline.functions.messages import rejected_json
 from crestline.operators.counted import ARRIVED, PASSED
-from crestline.plans.transforms import get_transform
+from crestline.plans.transforms import BatchFn, get_transform
 from crestline.schemas import get_schema
 from crestline.session import configure
 from crestline.sources.readers import get_reader, load_inputs
@@ -43,6 +44,46 @@ def start_rejects(spark: SparkSession, config: PipelineConfig) -> list[Streaming
     return started
 
 
+def newest_only(on_batch: BatchFn, checkpoint: str) -> BatchFn:
+    """Lets a batch of leaders through only if its window ends after all that earlier batches had.
+
+    The newest end is kept beside the checkpoint, in two places that take turns, so that one of them
+    is whole whenever a run stops; a batch that is run again is compared with what was before it.
+    The leaders of one window are kept while they are looked at and written.
+    """
+    where = f"{checkpoint.rstrip('/')}-newest"
+    held: list[DataFrame] = []
+
+    def each(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        while held:
+            held.pop().unpersist()
+        leaders = on_batch(batch, batch_id).persist()
+        held.append(leaders)
+        before = None
+        for place in (0, 1):
+            try:
+                rows = spark.read.schema(_NEWEST).parquet(f"{where}/{place}").where(F.col("batch_id") < batch_id)
+                found = rows.orderBy(F.desc("batch_id")).first()
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                found = None
+            if found and (before is None or found.batch_id > before.batch_id):
+                before = found
+        newest = leaders.agg(F.max(F.unix_micros("window.end"))).first()[0]
+        known = before.ends if before else None
+        later = newest is not None and (known is None or newest > known)
+        row = (batch_id, newest if later else known)
+        spark.createDataFrame([row], _NEWEST).coalesce(1).write.mode("overwrite").parquet(f"{where}/{batch_id % 2}")
+        return leaders if later else leaders.limit(0)
+
+    return each
+
+
+_NEWEST = "batch_id long, ends long"
+
+
 def run_pipeline(
     spark: SparkSession, config: PipelineConfig, side: list[StreamingQuery] | None = None
 ) -> StreamingQuery:
@@ -56,7 +97,10 @@ def run_pipeline(
         get_reader(source.reader)
     configure(spark)
     streamed = transform.on_stream(load_inputs(spark, config))
-    query = sink(streamed, config.sink, transform.on_batch)
+    on_batch = transform.on_batch
+    if on_batch and config.window.emit == "latest":
+        on_batch = newest_only(on_batch, config.sink.checkpoint)
+    query = sink(streamed, config.sink, on_batch)
     rejects = start_rejects(spark, config)
     if side is not None:
         side.extend(rejects)

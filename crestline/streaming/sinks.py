@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from crestline.config import SinkConfig
@@ -59,27 +61,59 @@ def write_kafka(batch: DataFrame, sink: SinkConfig, batch_id: int) -> None:
     messages.write.format("kafka").options(**sink.options).save()
 
 
-def _refuse_other_run(batch: DataFrame, path: str) -> None:
-    """A first batch over a folder with later ones would mix two runs."""
-    jvm = batch.sparkSession.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(batch.sparkSession._jsparkSession.sessionState().newHadoopConf())
-    if not files.exists(folder):
-        return
-    names = [f.getPath().getName() for f in files.listStatus(folder)]
-    if any(n.startswith("batch_id=") and n != "batch_id=0" for n in names):
-        raise ValueError(f"{path!r} holds batches of another run; give a new folder or its checkpoint")
+COMMIT = "batch_id long, run string, state string"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest of each batch that was written under a path, one row each."""
+    try:
+        return spark.read.schema(COMMIT).option("recursiveFileLookup", "true").json(f"{path.rstrip('/')}-commits")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], COMMIT)
+
+
+def _commit(spark: SparkSession, path: str, sink: SinkConfig, batch_id: int, state: str) -> None:
+    row = spark.createDataFrame([(batch_id, sink.checkpoint, state)], COMMIT).coalesce(1)
+    row.write.mode("overwrite").json(f"{path.rstrip('/')}-commits/{batch_id}")
+
+
+# Last batch that this process has committed, by folder and run.
+_last: dict[tuple[str, str], int] = {}
 
 
 def write_files(batch: DataFrame, sink: SinkConfig, batch_id: int) -> None:
-    """A folder per batch under ``path``; a batch run again replaces its own folder."""
+    """A folder per batch under ``path``, which counts once its manifest says so.
+
+    Manifests lie in ``path`` + ``-commits`` and name the run, told by its checkpoint.  A batch
+    run again takes its manifest back, replaces its folder and commits anew, so a crash at any
+    point leaves it invisible to ``read_committed``, neither half nor twice.  A folder
+    that holds batches of another run, or later ones, is refused.
+    """
+    spark = batch.sparkSession
     options = dict(sink.options)
     path = options.pop("path")
-    if batch_id == 0:
-        _refuse_other_run(batch, path)
+    run = (path, sink.checkpoint)
+    if _last.get(run) != batch_id - 1:
+        found = _commits(spark, path)
+        other = (F.col("run") != sink.checkpoint) | (F.col("batch_id") > batch_id)
+        if found.where(other).limit(1).count():
+            raise ValueError(f"{path!r} holds batches of another run; give a new folder or its checkpoint")
+        if found.where(F.col("batch_id") == batch_id).limit(1).count():
+            _commit(spark, path, sink, batch_id, "writing")
     kind = options.pop("file_format", "parquet")
     target = f"{path.rstrip('/')}/batch_id={batch_id}"
     _encoded(batch, sink).write.mode("overwrite").format(kind).options(**options).save(target)
+    _commit(spark, path, sink, batch_id, "committed")
+    _last[run] = batch_id
+
+
+def read_committed(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """Rows of all committed batches of a files sink, with their ``batch_id``."""
+    done = _commits(spark, path).where(F.col("state") == "committed").select("batch_id")
+    rows = spark.read.format(kind).load(path)
+    return rows.withColumn("batch_id", F.col("batch_id").cast("long")).join(done, "batch_id", "left_semi")
 
 
 def write_console(batch: DataFrame, sink: SinkConfig, batch_id: int) -> None:

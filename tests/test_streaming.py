@@ -342,3 +342,62 @@ def test_latest_window_whatever_the_rank_scope(spark, tmp_path):
     from crestline.plans.transforms import TopPagesByGroup
 
     assert [r.pageid for r in TopPagesByGroup(cfg).on_batch(totals, 0).collect()] == ["c"]
+
+
+def test_a_crash_before_the_commit_leaves_nothing_visible(spark, tmp_path, monkeypatch):
+    from crestline.streaming import read_committed, sinks
+
+    path = str(tmp_path / "out")
+    sink = SinkConfig(checkpoint="/run", writer="files", options={"path": path})
+    write_files(spark.range(3), sink, 0)
+    commit = sinks._commit
+
+    def crash(spark, path, sink, batch_id, state):
+        if state == "committed":
+            raise RuntimeError("lost")
+        commit(spark, path, sink, batch_id, state)
+
+    monkeypatch.setattr(sinks, "_commit", crash)
+    with pytest.raises(RuntimeError):
+        write_files(spark.range(10), sink, 1)
+    assert read_committed(spark, path).count() == 3
+    monkeypatch.setattr(sinks, "_commit", commit)
+    sinks._last.clear()  # a new process
+    write_files(spark.range(10), sink, 1)
+    assert read_committed(spark, path).count() == 13
+    # A batch whose commit did not reach the stream's checkpoint runs again and fails on the way.
+    monkeypatch.setattr(sinks, "_commit", crash)
+    sinks._last.clear()
+    with pytest.raises(RuntimeError):
+        write_files(spark.range(4), sink, 1)
+    assert read_committed(spark, path).count() == 3
+    monkeypatch.setattr(sinks, "_commit", commit)
+    write_files(spark.range(10), sink, 1)
+    assert read_committed(spark, path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 3), (1, 10)]
+    with pytest.raises(ValueError, match="another run"):
+        write_files(spark.range(1), replace(sink, checkpoint="/other"), 2)
+
+
+def test_an_older_window_never_follows_a_newer_one(spark, tmp_path):
+    from crestline.plans.transforms import TopPagesByGroup
+    from crestline.streaming.pipeline import newest_only
+
+    each = newest_only(TopPagesByGroup(config(tmp_path, emit="latest", top=5)).on_batch, f"{tmp_path}/c")
+
+    def batch(*windows):
+        rows = [("F", w, f"p{w}", 1) for w in windows]
+        df = spark.createDataFrame(rows, "gender string, at int, pageid string, total_viewtime long")
+        window = F.struct(F.timestamp_seconds("at").alias("start"), F.timestamp_seconds(F.col("at") + 60).alias("end"))
+        return df.select("gender", "pageid", "total_viewtime", window.alias("window"))
+
+    def pages(df, batch_id):
+        return [r.pageid for r in each(df, batch_id).collect()]
+
+    assert pages(batch(0, 60), 0) == ["p60"]
+    assert pages(batch(0, 30), 1) == []  # an older window closes late
+    assert pages(batch(60), 2) == []
+    assert pages(batch(), 3) == []
+    assert pages(batch(90, 120), 4) == ["p120"]
+    assert pages(batch(90, 120), 4) == ["p120"]  # the same batch again
+    assert pages(batch(180), 5) == ["p180"]
+    assert pages(batch(120), 6) == []
