@@ -40,6 +40,7 @@ DOMAIN = 1 << 20
 BANDS = 32
 ROWS = 4
 THRESHOLD = 80  # percent
+WORDS = 16  # of 64 bits in a parity map
 WIDTH = 5
 
 
@@ -70,28 +71,34 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """64 * WORDS bits, each whether an odd number of shingles falls on it."""
+    bits = np.bincount((shingles % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def sketches(docs: DataFrame, *, key: str, text: str, width: int) -> DataFrame:
-    """key, set size, node (a hash of the whole set) and bucket keys of every row."""
+    """key, mark, set size, node (a hash of the whole set) and bucket keys of every row."""
     small_batches(docs.sparkSession)
 
     def sketch(batches):
         for b in batches:
             n, node, found = [], [], []
-            for s in shingle_sets(b.column(1).to_pylist(), width):
+            for s in shingle_sets(b.column(2).to_pylist(), width):
                 n.append(len(s))
                 node.append(node_of(s) if len(s) else None)
                 found.append(bands(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                names=["key", "n", "node", "bands"],
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                names=["key", "mark", "n", "node", "bands"],
             )
 
-    named = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return named.mapInArrow(sketch, "key long, n long, node long, bands array<long>")
+    named = docs.select(F.col(key).cast("long").alias("key"), _mark(key, text).alias("mark"), F.col(text).alias("text"))
+    return named.mapInArrow(sketch, "key long, mark long, n long, node long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, *, key: str, text: str, width: int) -> DataFrame:
@@ -140,7 +147,9 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     All shingles are put in one order, rare ones first.  Two sets of n and m shingles, similar
     enough, share one of the first n - ceil(t n) + 1 of the one and m - ceil(t m) + 1 of the
     other.  From the first shared one on, enough must be left of both.  A set that
-    differs from all others begins with shingles of its own, which meet none.
+    differs from all others begins with shingles of its own, which meet none.  And the bits that the
+    parities of their shingles differ in must leave room for the similarity, which drops most
+    pairs of a group of copies that differ too much before they are rows of the join.
     """
 
     def spell(batches):
@@ -153,8 +162,16 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     names=["node", "root", "few", "shingle"],
                 )
 
+    def fold(batches):
+        for b in batches:
+            bits = [parity(np.frombuffer(raw, np.uint64)) for raw in b.column("shingles").to_pylist()]
+            table = np.stack(bits) if bits else np.zeros((0, WORDS), np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("node"), *[pa.array(c) for c in table.T]], names=["node", *words])
+
+    words = [f"w{i}" for i in range(WORDS)]
     spelt = nodes.join(sets, "node").select("node", "root", "few", "shingles").mapInArrow(spell, "node long, root long, few boolean, shingle long")
     spelt = materialize(spelt, "minhash-spelt")
+    folded = sets.join(nodes.select("node"), "node", "left_semi").mapInArrow(fold, ", ".join(["node long", *[f"{w} long" for w in words]]))
     often = spelt.groupBy("shingle").agg(F.count(F.lit(1)).alias("often"))
     placed = spelt.join(often, "shingle").groupBy("node", "root", "few").agg(
         F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("all")
@@ -162,14 +179,18 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     n = F.size("all")
     length = n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1
     first = placed.select("node", "root", "few", n.alias("n"), F.posexplode(F.slice("all", F.lit(1), length)).alias("i", "one")).where("one.often > 1")
-    first = materialize(first.select("node", "root", "few", "n", "i", F.col("one.shingle").alias("shingle")), "minhash-prefixes")
+    first = first.select("node", "root", "few", "n", "i", F.col("one.shingle").alias("shingle")).join(folded, "node")
+    first = materialize(first, "minhash-prefixes")
     x, y = first.where("few").alias("x"), first.alias("y")
     # What is left from the first shared shingle on must be enough for the similarity.
     most = F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
     fits = most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    # Bits that differ are at most the shingles that only one of them has.
+    differ = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in words), F.lit(0))
+    alike = differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
     once = ~F.col("y.few") | (F.col("x.node") < F.col("y.node"))
     apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
-    met = x.join(y, apart & fits & once).select(
+    met = x.join(y, apart & fits & once & alike).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
         (F.col("x.n") + F.col("y.n")).alias("both"), most.alias("most"),
     )
@@ -202,6 +223,15 @@ def near_duplicates(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = THRESHOLD,
 ) -> DataFrame:
     """key, n_shingles, component_id and kept of every row."""
+    found = _classes(docs, key=key, text=text, width=width, percent=percent)
+    least = F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id"))
+    return found.select("key", F.col("n").alias("n_shingles"), least.alias("component_id")).select(
+        "*", F.coalesce(F.col("key") == F.col("component_id"), F.col("component_id").isNull()).alias("kept")
+    )
+
+
+def _classes(docs: DataFrame, *, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """key, mark, n, node, root and component_id of every row; node, root and id null for empty sets."""
     rows = materialize(sketches(docs, key=key, text=text, width=width), "minhash-sketches")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("key").alias("key"), F.first("bands").alias("bands"))
     nodes = materialize(nodes, "minhash-nodes")
@@ -243,31 +273,37 @@ def near_duplicates(
     roots = components(links)
     rooted = nodes.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
-    labelled = materialize(rooted.join(least, "root").select("node", "component_id"), "minhash-labels")
-    return (
-        rows.select("key", "n", "node").join(labelled, "node", "left")
-        .select(
-            "key", F.col("n").alias("n_shingles"),
-            F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
-        )
-        .select("*", F.coalesce(F.col("key") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
-    )
+    labelled = materialize(rooted.join(least, "root").select("node", "root", "component_id"), "minhash-labels")
+    return rows.select("key", "mark", "n", "node").join(labelled, "node", "left")
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = THRESHOLD) -> DataFrame:
-    """One row of each class, whole as it is: of the least id, and of its rows the first text."""
-    found = materialize(near_duplicates(docs, key=key, text=text, width=width, percent=percent), "minhash-found")
-    counted = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("any"))
-    id_ = fresh(docs, "id")
-    odd = counted.where("n > 1 or not any").select(F.col("key").alias(id_), (F.col("any") & F.col("key").isNotNull()).alias("any"))
+    """One row of each class, whole as it is: of the least id (null last), and of its texts one by hash.
+
+    Rows are told by id and text: an id with several texts loses none that is in a class of its own.
+    Of rows equal in both the first stays.  Rows without words are in no class and all stay.
+    """
+    found = materialize(_classes(docs, key=key, text=text, width=width, percent=percent), "minhash-found")
+    own = found.where("node is not null").groupBy("root", "key", "mark").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark"))
+    chosen = own.groupBy("root").agg(first.alias("first")).select("root", "first.key", "first.mark", F.lit(True).alias("stays"))
+    same = (F.col("o.root") == F.col("c.root")) & F.col("o.key").eqNullSafe(F.col("c.key")) & (F.col("o.mark") == F.col("c.mark"))
+    judged = own.alias("o").join(chosen.alias("c"), same, "left").select("o.key", "o.mark", "o.n", F.coalesce("c.stays", F.lit(False)).alias("stays"))
+    id_, mark_ = fresh(docs, "id"), fresh(docs, "mark")
+    odd = judged.where("n > 1 or not stays").select(F.col("key").alias(id_), F.col("mark").alias(mark_), "stays")
     odd = materialize(odd, "minhash-odd")
-    at = F.col(key).cast("long") == F.col(id_)
-    # The same plan at every size: whether these ids fit a broadcast depends on the data.
-    single = docs.join(odd.select(id_).hint("merge"), at, "left_anti")
-    many = docs.join(odd.where("any").select(id_).hint("merge"), at, "left_semi").dropDuplicates([key])
+    at = F.col(key).cast("long").eqNullSafe(F.col(id_)) & (_mark(key, text) == F.col(mark_))
+    # The same plan at every size: whether these rows fit a broadcast depends on the data.
+    single = docs.join(odd.select(id_, mark_).hint("merge"), at, "left_anti")
+    many = docs.join(odd.where("stays").select(id_, mark_).hint("merge"), at, "left_semi").dropDuplicates([key, text])
     return single.unionByName(many)
 
 
+def _mark(key: str, text: str):
+    """What tells a row beside its id: a hash of its text."""
+    return F.xxhash64(F.col(key).cast("long"), F.col(text))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, width=4).withColumnRenamed("key", "doc_id")

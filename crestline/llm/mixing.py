@@ -17,8 +17,9 @@ empty result; columns of any name pass through ``apply_mix`` untouched.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +32,28 @@ TOLERANCE = 1e-7
 MAX_STEPS = 60
 
 
+def numbered(key: str, text: str) -> Column:
+    """A hash of id and text, and a number among the equal rows that a task has seen before.
+
+    Rows that differ round by themselves, wherever they are.  Equal ones, which only their place could
+    tell apart, are numbered within their task.
+    """
+
+    @F.arrow_udf("long")
+    def again(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        seen: dict[int, int] = {}
+        for b in batches:
+            out = []
+            for h in b.to_pylist():
+                seen[h] = n = seen.get(h, -1) + 1
+                out.append(n)
+            yield pa.array(out, pa.int64())
+
+    own = F.xxhash64(F.lit("mix"), F.col(key), F.col(text))
+    count = again(own)
+    return F.struct(own.alias("own"), count.alias("n"), F.when(count > 0, F.spark_partition_id()).alias("task"))
+
+
 def token_size(text: str | Column = "text") -> Column:
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -104,7 +127,7 @@ def solve(
     """One row per source: size, target, dual variable and rounding threshold."""
     sized = materialize(
         docs.select(
-            F.col(key).alias("_key"), F.col(source).alias("_source"), token_size(text).alias("_z")
+            numbered(key, text).alias("_key"), F.col(source).alias("_source"), token_size(text).alias("_z")
         ),
         "mix-sizes",
     )
@@ -143,6 +166,8 @@ def solve(
         state, left = _newton(hist, state, cap)
         if not left:
             break
+    else:
+        raise ArithmeticError(f"{MAX_STEPS} Newton steps did not reach the targets")
     return _thresholds(sized, state, cap)
 
 
@@ -197,7 +222,7 @@ def _place(cap: float) -> tuple[Column, Column]:
     """Copies a rate is sure of, and the bin of (uniform hash - what the rate has beyond)."""
     rate = _rate(cap)
     sure = F.least(F.floor(rate), F.lit(int(cap) - 1))
-    uniform = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), F.col("_key")), 11) / F.lit(float(1 << 53))
+    uniform = F.shiftrightunsigned(F.xxhash64(F.col("_key.own"), F.col("_key.n"), F.col("_key.task")), 11) / F.lit(float(1 << 53))
     place = F.floor((uniform - (rate - sure) + 1) * F.lit(BINS)).cast("int")
     return sure.cast("long"), place
 
@@ -231,7 +256,7 @@ def apply_mix(
 ) -> DataFrame:
     """Every row as ``_row`` with ``_z`` (size), ``_size``, ``_target``, ``_r`` and ``_copies``."""
     keyed = docs.select(
-        packed(docs), F.col(key).alias("_key"), F.col(source).alias("_from"), token_size(text).alias("_z")
+        packed(docs), numbered(key, text).alias("_key"), F.col(source).alias("_from"), token_size(text).alias("_z")
     )
     sure, place = _place(cap)
     joined = keyed.join(state, F.col("_from").eqNullSafe(F.col("_source")))

@@ -2,8 +2,9 @@
 
 Spans of three base kinds are found by pattern in whole texts.  Every candidate value, which is
 what a base span holds as well as any other long run of letters and digits, is hashed and
-counted over the corpus by distinct repositories and distinct owners.  A value seen with few
-owners is specific to them and looks live; one seen with many is a copied example.  Runs that no
+counted over the corpus by distinct repositories and distinct owners.  A value seen with few of
+both is specific to its owner and looks live; one seen with many owners, or in many repositories of
+one, is a copied example.  Runs that no
 base pattern covers and that look live are added as spans of the kind ``owned``; base spans stay,
 and are counted as live or copied.
 
@@ -32,6 +33,7 @@ RUN = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 10
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 _SPAN = "array<struct<start:bigint,end:bigint,kind:int,value:string>>"
@@ -75,9 +77,12 @@ def _joined(spans: Column) -> Column:
 
 def scan(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", repository: str = "doc_id",
-    owner: str = "source", max_owners: int = MAX_OWNERS,
+    owner: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
-    """One row per document: key, counts of the base kinds, base hash, all spans, ownership counts."""
+    """One row per document: key, counts of the base kinds, base hash, all spans, ownership counts.
+
+    ``most_owners`` and ``most_repositories`` are the largest counts of any of its values.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     small = F.lower(body)
     none = F.expr(f"cast(array() as {_SPAN})")
@@ -123,7 +128,7 @@ def scan(
         .groupBy("value")
         .agg(F.count_distinct("r").alias("repositories"), F.count_distinct("o").alias("owners"))
     )
-    live = F.col("owners") <= max_owners
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     is_added = F.col("span.kind") == KINDS.index("owned")
     judged = (
         each.select("row", "span", F.col("span.value").alias("value"))
@@ -133,6 +138,8 @@ def scan(
             F.collect_list(F.when(is_added & live, F.col("span"))).alias("added"),
             F.count(F.when(~is_added & live, 1)).alias("n_live"),
             F.count(F.when(~is_added & ~live, 1)).alias("n_copied"),
+            F.max("owners").alias("most_owners"),
+            F.max("repositories").alias("most_repositories"),
         )
     )
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
@@ -145,6 +152,8 @@ def scan(
         F.size(added).cast("long").alias("n_owned"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
         F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
+        F.coalesce("most_owners", F.lit(0)).cast("long").alias("most_owners"),
+        F.coalesce("most_repositories", F.lit(0)).cast("long").alias("most_repositories"),
     )
 
 
@@ -180,9 +189,11 @@ free AS (
   AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start < r.stop AND r.start < b.stop)
 ), spans AS (SELECT * FROM base UNION ALL SELECT * FROM free),
 owned AS (
-  SELECT value, count(DISTINCT owner) <= {MAX_OWNERS} AS live FROM spans JOIN t USING (doc_id) GROUP BY value
+  SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), chr(0))) AS repositories,
+         owners <= {MAX_OWNERS} AND repositories <= {MAX_REPOSITORIES} AS live
+  FROM spans JOIN t USING (doc_id) GROUP BY value
 ), judged AS (
-  SELECT doc_id, kind, start, stop, live,
+  SELECT doc_id, kind, start, stop, live, owners, repositories,
          ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS said
   FROM spans JOIN owned USING (value)
 ), per AS (
@@ -190,10 +201,11 @@ owned AS (
          string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
          string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3 OR live) AS spans,
          count(*) FILTER (kind = 3 AND live) AS o, count(*) FILTER (kind < 3 AND live) AS l,
-         count(*) FILTER (kind < 3 AND NOT live) AS c
+         count(*) FILTER (kind < 3 AND NOT live) AS c, max(owners) AS most_o, max(repositories) AS most_r
   FROM judged GROUP BY doc_id
 )
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(o, 0) AS n_owned, coalesce(l, 0) AS n_live, coalesce(c, 0) AS n_copied
+       coalesce(o, 0) AS n_owned, coalesce(l, 0) AS n_live, coalesce(c, 0) AS n_copied,
+       coalesce(most_o, 0) AS most_owners, coalesce(most_r, 0) AS most_repositories
 FROM t LEFT JOIN per USING (doc_id)"""

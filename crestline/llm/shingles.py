@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from crestline.llm.spans import mix64, span_hashes
+from crestline.llm.spans import mix64, short_hashes
 
 RUN_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -34,7 +34,7 @@ def word_hashes(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = edge[0::2], edge[1::2]
     text_end = np.cumsum([len(r) + 1 for r in run])
     counts = np.diff(np.searchsorted(starts, text_end), prepend=0)
-    return span_hashes(data, starts, ends), counts
+    return short_hashes(data, starts, ends), counts
 
 
 def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:

@@ -52,17 +52,35 @@ LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
 # ---------------------------------------------------------------- encoding
 
 
-def _piece_hashes(code: np.ndarray, edges: np.ndarray, which: int) -> np.ndarray:
-    """Hashes of neighbouring pieces, some at a time to keep the working memory small."""
-    out, a = [], 0
+def _some_at_a_time(edges: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring pieces, to keep the working memory small."""
+    a = 0
     while a < len(edges) - 1:
         b = max(int(np.searchsorted(edges, edges[a] + HASHED_AT_ONCE, "right")) - 1, a + 1)
-        own = edges[a : b + 1] - edges[a]
-        out.append(span_hashes(code[edges[a] : edges[b]], own[:-1], own[1:], which))
+        yield a, b
         a = b
+
+
+def _piece_hashes(code: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    out = []
+    for a, b in _some_at_a_time(edges):
+        own = edges[a : b + 1] - edges[a]
+        out.append(span_hashes(code[edges[a] : edges[b]], own[:-1], own[1:]))
     return np.concatenate(out)
 
 
+def _same_pieces(code: np.ndarray, edges: np.ndarray, like: np.ndarray) -> bool:
+    """Whether every piece has the characters of the piece that stands for it."""
+    size = np.diff(edges)
+    if (size[like] != size).any():
+        return False
+    for a, b in _some_at_a_time(edges):
+        shift = np.repeat(edges[:-1][like[a:b]] - edges[a:b], size[a:b])
+        if (code[np.arange(edges[a], edges[b]) + shift] != code[edges[a] : edges[b]]).any():
+            return False
+    return True
+
+
 class Encoder:
     """Token ids of texts, equal to the library's, with pieces remembered between texts."""
 
@@ -136,10 +154,9 @@ class Encoder:
 
     def _by_piece(self, all_text: str, code: np.ndarray, edges: np.ndarray, at: np.ndarray) -> list[bytes]:
         """Ids of each text, looking every distinct piece up once."""
-        hashes = _piece_hashes(code, edges, 0)
+        hashes = _piece_hashes(code, edges)
         _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-        again = _piece_hashes(code, edges, 1)
-        if (again[one][which] != again).any():  # two pieces share a hash: look all up
+        if not _same_pieces(code, edges, one[which]):  # two pieces share a hash: look all up
             one = which = np.arange(len(hashes))
         pieces = [all_text[a:b] for a, b in zip(edges[one].tolist(), edges[one + 1].tolist())]
         if len(self.known) > REMEMBERED:
@@ -273,6 +290,7 @@ class Store:
     buckets: int
     tokens: tuple[int, ...]
     rows: tuple[int, ...]
+    nulls: int = 0  # documents without a key, which are the first rows
 
     def find(self, keys: np.ndarray, bucket: int) -> np.ndarray:
         """Index entries of keys of one bucket; ``rows`` is 0 where there is none."""
@@ -377,7 +395,8 @@ def write_store(
     keys = materialize(keys.select("key", "first.shard", "first.row", "rows"), "token-keys")
     buckets = -(-keys.count() // KEYS_PER_BUCKET)
     _index(keys, folder, buckets)
-    return Store(folder, width, buckets, tuple(tokens), tuple(counts))
+    nulls = rows.where("key is null").count()
+    return Store(folder, width, buckets, tuple(tokens), tuple(counts), nulls)
 
 
 def _bucketed(keys: DataFrame, buckets: int) -> DataFrame:
@@ -413,7 +432,8 @@ def _index(keys: DataFrame, folder: str, buckets: int) -> None:
 def read_store(store: Store, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents of the given keys, read from the files: key, start, n_tokens, ids_crc32.
 
-    One row per stored document; keys that are null or not in the store give none.
+    One row per stored document; keys that are not in the store give none.  A null key, if there is
+    one, stands for all documents without a key: no index has them, but they are the first rows.
     """
     spark = keys.sparkSession
     ship_code(spark)
@@ -429,7 +449,7 @@ def read_store(store: Store, keys: DataFrame, key: str = "doc_id") -> DataFrame:
 
     def read(table: pa.Table) -> pa.Table:
         table = table.sort_by("at")
-        at, key = table["at"].to_numpy(), table["key"].to_numpy()
+        at, key = table["at"].to_numpy(), table["key"]
         shard = np.searchsorted(row_base, at, "right") - 1
         out = {"key": key, "start": np.zeros(len(at), np.int64), "n_tokens": np.zeros(len(at), np.int64), "ids_crc32": np.zeros(len(at), np.int64)}
         # Runs of neighbouring rows are read at once.
@@ -443,11 +463,14 @@ def read_store(store: Store, keys: DataFrame, key: str = "doc_id") -> DataFrame:
         return pa.table(out)
 
     schema = "key long, start long, n_tokens long, ids_crc32 long"
-    if not store.buckets:
-        return spark.createDataFrame([], schema)
-    found = _bucketed(wanted, store.buckets).groupBy("bucket").applyInArrow(find, "key long, first long, rows long")
-    each = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("rows") - 1))
-    spread = found.where("rows > 0").select("key", each.alias("at")).withColumn("block", F.floor(F.col("at") / ROWS_PER_READ))
+    spread = spark.createDataFrame([], "key long, at long")
+    if store.buckets:
+        found = _bucketed(wanted, store.buckets).groupBy("bucket").applyInArrow(find, "key long, first long, rows long")
+        each = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("rows") - 1))
+        spread = found.where("rows > 0").select("key", each.alias("at"))
+    if store.nulls and keys.where(F.col(key).isNull()).limit(1).count():
+        spread = spread.unionByName(spark.range(store.nulls).select(F.lit(None).cast("long").alias("key"), F.col("id").alias("at")))
+    spread = spread.withColumn("block", F.floor(F.col("at") / ROWS_PER_READ))
     return spread.groupBy("block").applyInArrow(read, schema)
 
 

@@ -67,6 +67,17 @@ def test_small_sources_stop_at_the_cap(spark):
     assert counts["a"] == 15 and abs(counts["z"] - 380) <= 2 and mixed.columns == docs.columns
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_documents_of_no_or_one_id_meet_the_targets(spark, same):
+    """Rows that only their place or only their text tells apart."""
+    rows = [(None if i % 2 else 7, "w " * 10 + ("" if same else f"x{i}"), "a" if i < 450 else "b") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = mixing.apply_mix(docs, mixing.solve(docs)).collect()
+    for s in ("a", "b"):
+        own = [r for r in out if r._row.source == s]
+        assert sum(r._copies * r._z for r in own) == pytest.approx(float(own[0]._target), rel=0.05)
+
+
 def test_edges(spark):
     docs = edge.docs(spark)
     out = mixing.mix(docs)

@@ -38,16 +38,19 @@ def test_base_spans_equal_python(spark):
         said = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in want)
         assert got[i].base_sha256 == hashlib.sha256(said.encode()).hexdigest()
         assert set(said.split(",")) - {""} <= set(got[i].spans.split(","))
-    assert got[4].spans == "owned:4:28" and got[4].n_owned == 1
+    assert got[4].spans == "owned:4:28,hex:33:58" and got[4].n_owned == 1  # 25 times a is hex too
 
 
 def test_ownership_parts_copied_from_own(spark):
     copied, own = "password=hunter22", "x Zm9vYmFyMTIzNDU2Nzg5MA y"
-    rows = [(i, copied if i < 9 else own, f"s{i}" if i < 9 else "same") for i in range(20)]
+    rows = [(i, copied if i < 9 else own, f"s{i}" if i < 9 else "same") for i in range(19)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.key: r for r in secrets.scan(docs).collect()}
     assert all(got[i].n_copied == 1 and got[i].n_live == 0 and got[i].spans for i in range(9))
-    assert all(got[i].n_owned == 1 for i in range(9, 20))
+    assert all(got[i].n_owned == 1 and (got[i].most_owners, got[i].most_repositories) == (1, 10) for i in range(9, 19))
+    # Copied within one source: one owner, but too many repositories.
+    many = spark.createDataFrame([(i, f"{copied} {own}", "one") for i in range(11)], "doc_id long, text string, source string")
+    assert {(r.n_copied, r.n_live, r.n_owned) for r in secrets.scan(many).collect()} == {(1, 0, 0)}
     widely = spark.createDataFrame([(i, own, f"s{i}") for i in range(5)], "doc_id long, text string, source string")
     assert {r.spans for r in secrets.scan(widely).collect()} == {""}
 

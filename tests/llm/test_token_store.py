@@ -65,8 +65,8 @@ def test_edges(spark, tokenizer, monkeypatch):
     got = read_store(store, docs).collect()
     rows = [r[:2] for r in edge.rows()]
     want = expected(rows, tokenizer)
-    # Documents of one key are in no order among each other; the null key is not indexed.
-    only = lambda xs: sorted((k, n, c) for k, _, n, c in xs if k is not None)
+    # Documents of one key are in no order among each other; those without one come first.
+    only = lambda xs: sorted(((k, n, c) for k, _, n, c in xs), key=str)
     assert only(map(tuple, got)) == only(want)
     starts = sorted((r.start, r.n_tokens) for r in got)
     assert all(a + n <= b for (a, n), (b, _) in zip(starts, starts[1:]))
@@ -75,6 +75,27 @@ def test_edges(spark, tokenizer, monkeypatch):
     assert len(store.get(10)) == 3 and store.get(99_999) == [] and store.get(-5) == []
 
 
+def test_documents_without_a_key_are_returned(spark, tokenizer):
+    docs = spark.createDataFrame([(None, "one"), (3, "two"), (None, "three words here")], "doc_id long, text string")
+    store = write_store(docs.repartition(2), PATH, shards=2)
+    got = sorted(((r.key, r.n_tokens) for r in read_store(store, docs).collect()), key=str)
+    size = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1
+    assert got == sorted([(3, size("two")), (None, size("one")), (None, size("three words here"))], key=str)
+    assert read_store(store, docs.where("doc_id = 3")).count() == 1
+    none = docs.where("doc_id is null")
+    alone = write_store(none, PATH)
+    assert alone.buckets == 0 and read_store(alone, none).count() == 2
+
+
+def test_pieces_that_collide_under_any_polynomial_hash(tokenizer):
+    texts = []
+    for n in (512, 1024, 2048, 4096):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        texts += [word, word.translate(str.maketrans("ab", "ba")), word]
+    got = token_store.Encoder(PATH).encode(texts)
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_repeated_key_spans_shards(spark):
     docs = spark.createDataFrame([(5, f"text {i % 7}") for i in range(60)] + [(1, "a"), (9, "b")], "doc_id long, text string")
     store = write_store(docs.repartition(3), PATH, shards=6)
