@@ -33,10 +33,10 @@ MAX_STEPS = 60
 
 
 def numbered(key: str, text: str) -> Column:
-    """A hash of id and text, and a number among the equal rows that a task has seen before.
+    """A hash of each row: of its id or, without one, its text; beyond the first of a task also of more.
 
-    Rows that differ round by themselves, wherever they are.  Equal ones, which only their place could
-    tell apart, are numbered within their task.
+    Rows of one id are told apart by their text and by a number among the equal ones that their task
+    has seen.  So a row whose id is its own rounds alike wherever it is.
     """
 
     @F.arrow_udf("long")
@@ -49,9 +49,9 @@ def numbered(key: str, text: str) -> Column:
                 out.append(n)
             yield pa.array(out, pa.int64())
 
-    own = F.xxhash64(F.lit("mix"), F.col(key), F.col(text))
+    own = F.when(F.col(key).isNull(), F.xxhash64(F.lit("mix"), F.col(text))).otherwise(F.xxhash64(F.lit("mix"), F.col(key)))
     count = again(own)
-    return F.struct(own.alias("own"), count.alias("n"), F.when(count > 0, F.spark_partition_id()).alias("task"))
+    return F.when(count == 0, own).otherwise(F.xxhash64(own, count, F.col(text), F.spark_partition_id()))
 
 
 def token_size(text: str | Column = "text") -> Column:
@@ -222,7 +222,7 @@ def _place(cap: float) -> tuple[Column, Column]:
     """Copies a rate is sure of, and the bin of (uniform hash - what the rate has beyond)."""
     rate = _rate(cap)
     sure = F.least(F.floor(rate), F.lit(int(cap) - 1))
-    uniform = F.shiftrightunsigned(F.xxhash64(F.col("_key.own"), F.col("_key.n"), F.col("_key.task")), 11) / F.lit(float(1 << 53))
+    uniform = F.shiftrightunsigned(F.col("_key"), 11) / F.lit(float(1 << 53))
     place = F.floor((uniform - (rate - sure) + 1) * F.lit(BINS)).cast("int")
     return sure.cast("long"), place
 
