@@ -6,6 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,14 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``materialize`` wrote, once nothing that is still to run reads it."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        where, path = pafs.FileSystem.from_uri(folder) if ":/" in folder else (pafs.LocalFileSystem(), folder)
+        where.delete_dir(path)
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give Python workers this package wherever they run, once for each application."""
     context = spark.sparkContext

@@ -39,17 +39,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crestline.llm import bloom
-from crestline.llm.common import fresh, materialize, read_table, small_batches
+from crestline.llm.common import discard, fresh, materialize, read_table, small_batches
 from crestline.llm.shingles import word_hashes
 from crestline.llm.spans import mix64
 
 SYMBOLS = 64
-ORDER = 4
+ORDER = 3
 QUANTILE = 0.995
 HELD_OUT = 4
 BIN = 0.002
 CHUNK = 1 << 20
-HOT = 1 << 18
+HOT = 1 << 20
 _MARKS = " .,;:!?'\"()-|/%"
 BLANK = 29
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -348,6 +348,7 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
         F.col("c").alias("often"),
     ).mapInArrow(name, "gram long, gain double, often long")
     gains = materialize(single.unionByName(both), "quality-gains")
+    discard(pairs)
     # The least power of two that no more than HOT n-grams reach: one row per power.
     power = F.floor(F.log2("often"))
     least, total = 63, 0
@@ -475,7 +476,7 @@ def thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
     def cut(by: list[str]) -> DataFrame:
         whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
         upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        # Bins of bounded number: bits per symbol lie between 0 and some dozens.
+        # As many bins as scores differ by BIN: those of documents of very long words add some.
         added = bins.groupBy(*by, "bin").agg(F.sum("n").alias("n"))
         placed = added.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(whole))
         reached = placed.where(F.col("upto") >= F.col("all") * quantile)
