@@ -101,8 +101,8 @@ def _steps(
 ) -> DataFrame:
     """Changes in how many right rows reach a moment, each in the slot of its own time.
 
-    A right row at ``r`` adds one at ``r`` and takes it away just after ``r + bound``.  Equal
-    moments are summed before the shuffle.
+    A right row at ``r`` adds one at ``r`` and takes it away just after ``r + bound``.  Rows are not
+    moved for this: whoever reads the steps makes them anew from the rows.
     """
     begin = _micros(time)
     one = F.lit(1).cast("long")
@@ -113,8 +113,7 @@ def _steps(
     return (
         right.where(F.col(on).isNotNull() & F.col(time).isNotNull())
         .select(on, F.struct(*attributes).alias("_attributes"), F.inline(changes))
-        .groupBy(on, _slot(F.col("_at"), width).alias("_slot"), "_attributes", "_at")
-        .agg(F.sum("_step").alias("_step"))
+        .select(on, "_attributes", _slot(F.col("_at"), width).alias("_slot"), "_at", "_step")
     )
 
 
@@ -122,23 +121,26 @@ def _alive(steps: DataFrame, views: DataFrame, on: str) -> DataFrame:
     """Right rows alive at the start of each slot that a left row can match in.
 
     Sums of steps per slot are added up over the earlier slots of a (key, attributes): one
-    row per slot, however many rows lie in it.
+    row per slot, however many rows lie in it.  All slots of one (key, attributes) meet in a task, which
+    bounds what is there by the time covered, not by the rows.
     """
     nets = steps.groupBy(on, "_attributes", "_slot").agg(
         F.sum("_step").alias("_net"), F.count(F.lit(1)).alias("_steps")
     )
     nothing = F.lit(0).cast("long")
-    known = steps.select(on, "_attributes").distinct()
+    known = nets.select(on, "_attributes").distinct()
     looked_at = views.select(on, "_slot").distinct().join(known, on)
     slots = looked_at.select(
         on, "_attributes", "_slot", nothing.alias("_net"), nothing.alias("_steps"), F.lit(True).alias("_seen")
     ).unionByName(nets.withColumn("_seen", F.lit(False)))
-    per_slot = slots.groupBy(on, "_attributes", "_slot").agg(
-        F.sum("_net").alias("_net"), F.sum("_steps").alias("_steps"), F.max("_seen").alias("_seen")
-    )
-    earlier = Window.partitionBy(on, "_attributes").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    # A slot has one row of its steps and one of being looked at; the latter adds nothing, so the order
+    # of the two does not matter to what earlier slots add up to.
+    unit = Window.partitionBy(on, "_attributes")
+    earlier = unit.orderBy("_slot").rangeBetween(Window.unboundedPreceding, -1)
+    own = unit.orderBy("_slot").rangeBetween(Window.currentRow, Window.currentRow)
     return (
-        per_slot.withColumn("_alive", F.coalesce(F.sum("_net").over(earlier), nothing))
+        slots.withColumn("_alive", F.coalesce(F.sum("_net").over(earlier), nothing))
+        .withColumn("_steps", F.sum("_steps").over(own))
         .where(F.col("_seen") & ((F.col("_alive") > 0) | (F.col("_steps") > 0)))
         .select(on, "_attributes", "_slot", "_alive")
     )
