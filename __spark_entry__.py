@@ -61,6 +61,8 @@ def queries() -> dict[str, Query]:
         "decoded_users": reports.decoded_users,
         "rejected_messages": reports.rejected_messages,
         "rejected_stream": reports.rejected_stream,
+        "rejected_staged": reports.rejected_staged,
+        "top_pages_staged_stream": reports.top_pages_staged_stream,
         "encode_value_json": reports.encode_value_json,
         "noop": reports.noop,
         "json_file_scan": reports.json_file_scan,
@@ -276,6 +278,8 @@ FROM users""",
         # No document is a JSON object, hence every one is turned away and no view is.
         "rejected_messages": "SELECT text AS value FROM documents",
         "rejected_stream": "SELECT text AS value FROM documents",
+        "rejected_staged": "SELECT text AS value FROM documents",
+        "top_pages_staged_stream": flagship,
         "encode_value_json": _query(
             _STREAMS,
             _PAIRS,

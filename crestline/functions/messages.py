@@ -59,6 +59,17 @@ def rejected_json(df: DataFrame, schema: StructType) -> DataFrame:
     return rejected.select(F.col("_text").alias("value"), SOURCE_TIMESTAMP)
 
 
+def staged_json(df: DataFrame, schema: StructType) -> DataFrame:
+    """Every message, parsed once: its payload, or its text if ``rejected``, and source timestamp."""
+    fields = F.struct(*[F.col(f"_payload.{name}").alias(name) for name in schema.names])
+    return _parsed(df, schema).select(
+        F.when(_readable(), fields).alias("payload"),
+        F.when(~_readable(), F.col("_text")).alias("value"),
+        SOURCE_TIMESTAMP,
+        (~_readable()).alias("rejected"),
+    )
+
+
 def _as_timestamp(df: DataFrame, name: str, unit: str) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, TimestampType | TimestampNTZType | DateType | StringType):

@@ -23,7 +23,7 @@ from crestline.plans.applications import launch
 from crestline.plans.transforms import NoOp, TopPagesByGroup, register_transform
 from crestline.schemas import PAGEVIEWS, USERS
 from crestline.session import configure, shared_dir
-from crestline.streaming.pipeline import RowCounts, run_batch
+from crestline.streaming.pipeline import RowCounts, run_batch, run_pipeline
 from crestline.streaming.replay import (
     FLUSH_TIME,
     as_messages,
@@ -33,6 +33,7 @@ from crestline.streaming.replay import (
     time_slices,
 )
 from crestline.streaming.sinks import read_committed
+from crestline.streaming.staging import rejected_of, stage, stage_inputs, staged
 from crestline.streaming.state import open_state
 
 DAY = 86_400
@@ -476,6 +477,39 @@ def rejected_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(source.rejects).select("value")
 
 
+def _noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts as messages, none of which is one."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.col("text").alias("value"), F.lit(None).cast("timestamp").alias("timestamp")
+    )
+
+
+def top_pages_staged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaderboard of topics with unreadable messages in them, all of them parsed once."""
+    configure(spark)
+    root = shared_dir(spark, "staged")
+    config = _pipeline(root, delay_seconds=HOUR)
+    messages = _messages(spark, sf_dir)
+    folders = {s.name: s.options["path"] for s in config.sources}
+    messages["page-topic"] = messages["page-topic"].unionByName(_noise(spark, sf_dir))
+    for step in (messages, flush_step(spark, config)):
+        for name, rows in step.items():
+            rows.write.mode("append").parquet(folders[name])
+        over, _ = stage_inputs(spark, config, f"{root}/parsed")
+        run_pipeline(spark, over).awaitTermination()
+    return _flat(_written(spark, config))
+
+
+def rejected_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other output of such a read: what could not be parsed."""
+    configure(spark)
+    root = shared_dir(spark, "staged-rejects")
+    source = _pipeline(root, delay_seconds=HOUR).sources[0]
+    _view_messages(spark, sf_dir).unionByName(_noise(spark, sf_dir)).write.parquet(source.options["path"])
+    stage(spark, source, f"{root}/parsed").awaitTermination()
+    return rejected_of(spark, staged(source, f"{root}/parsed")).select("value")
+
+
 class JoinedViews:
     """The interval join alone, as a stream."""
 

@@ -401,3 +401,22 @@ def test_an_older_window_never_follows_a_newer_one(spark, tmp_path):
     assert pages(batch(90, 120), 4) == ["p120"]  # the same batch again
     assert pages(batch(180), 5) == ["p180"]
     assert pages(batch(120), 6) == []
+
+
+def test_one_read_gives_decoded_and_rejected_messages(spark, tmp_path):
+    """Over two runs: each message is in one of the two outputs, once."""
+    from crestline.streaming.staging import rejected_of, stage_inputs
+
+    cfg = config(tmp_path)
+    bad = ["no json", '{"viewtime": "x"}', "", "[1"]
+    steps = [fixture_step(spark), {k: v.unionByName(lines(spark, bad)) for k, v in flush_lines(spark).items()}]
+    for step in steps:
+        for name, rows in step.items():
+            rows.write.mode("append").parquet(f"{tmp_path}/{name}")
+        over, queries = stage_inputs(spark, cfg, f"{tmp_path}/staged")
+        assert [s.reader for s in over.sources] == ["staged", "staged"] and len(queries) == 2
+        run_pipeline(spark, over).awaitTermination()
+    counts = [p.observedMetrics["staged"] for p in queries[0].recentProgress if p.numInputRows]
+    assert [(c.decoded, c.rejected) for c in counts] == [(1, 4)]
+    assert leaders(written(spark, cfg)) == fixtures.TOP_2_PER_WINDOW
+    assert sorted(r.value for r in rejected_of(spark, over.sources[0]).collect()) == sorted(bad)
