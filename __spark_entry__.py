@@ -70,7 +70,7 @@ def queries() -> dict[str, Query]:
         "top_pages_stream": reports.top_pages_stream,
         "late_rows_dropped": reports.late_rows_dropped,
         "late_rows_count": reports.late_rows_count,
-        "open_state_after_flush": reports.open_state_after_flush,
+        "state_after_flush": reports.state_after_flush,
         "noop_stream": reports.noop_stream,
         "interval_join_stream": reports.interval_join_stream,
         "tumbling_totals_stream": reports.tumbling_totals_stream,
@@ -307,7 +307,7 @@ FROM ranked""",
             select="SELECT count(*) AS late_rows FROM arrived, mark WHERE is_late AND viewed_at <= watermark",
         ),
         # Four aggregations; all that is left is in the first one, numbered last.
-        "open_state_after_flush": """
+        "state_after_flush": """
 SELECT CAST(i AS INTEGER) AS operator_id, CASE WHEN i = 3 THEN 2 ELSE 0 END::BIGINT AS rows FROM range(4) t(i)""",
         "noop_stream": text_views,
         "interval_join_stream": _query(

@@ -447,7 +447,7 @@ def late_rows_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.lit(late).cast("long").alias("late_rows"))
 
 
-def open_state_after_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+def state_after_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the leaderboard's operators hold once all is flushed: the two flush messages."""
     configure(spark)
     config = _pipeline(shared_dir(spark, "open-state"), delay_seconds=HOUR)
