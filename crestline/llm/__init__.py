@@ -32,6 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_topk_search": topk.TOPK_SQL,
         "op6_secret_scan": secrets.SECRETS_SQL,
         "op8_license_scan": licenses.LICENSES_SQL,
-        "op11_html_extraction": extraction.op11_html_extraction,
+        "op11_html_extraction": extraction.ARTICLES_SQL,
         "op12_lexical_search": lexical.LEXICAL_SQL,
     }

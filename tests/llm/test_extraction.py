@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import oracle
 import pytest
 
 from crestline.llm import dom, extraction
@@ -37,6 +38,11 @@ def test_query_returns_the_articles(spark):
         assert (got[p.page_id].url, got[p.page_id].text, got[p.page_id].n_chars) == (p.url, want, len(want))
 
 
+def test_query_equals_sql(spark):
+    got = oracle.spark_result(extraction.op11_html_extraction(spark, SF_DIR))
+    assert got == oracle.duckdb_result(oracle.connect(SF_DIR), extraction.ARTICLES_SQL)
+
+
 def exact(page, model):
     """Marginals by adding up all labellings."""
     seen, chars, sizes = extraction.observations(page)

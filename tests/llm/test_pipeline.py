@@ -71,4 +71,5 @@ def test_mix_and_token_stages(spark, stages):
 def test_registered_queries(spark):
     names = [n for n in contract.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
+    assert all(isinstance(sql, str) for sql in contract.oracle_sql().values())
     assert contract.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in contract.oracle_sql()
