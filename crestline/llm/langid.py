@@ -14,6 +14,9 @@ languages x centroids x DIM floats.  Every text is then read whole.
 Defined cases: text that is null or has no letter is ``und`` with score 0 and rejected; so is
 every text if there is nothing to learn from; equal similarities go to the language first in
 order; repeated rows and ids each give their row; labels that are null are not learned.
+
+Texts are read whole, however long; only the named columns are read, whatever others are called.  Extra
+columns that ``predict`` is given must not be called ``lang_pred``, ``score``, ``rejected`` or ``_text``.
 """
 
 from __future__ import annotations

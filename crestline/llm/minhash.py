@@ -20,6 +20,9 @@ folder; nothing of documents, links or components goes through the driver.
 Defined cases: null or empty text, or text without words, has an empty set, is linked with
 nothing and keeps itself; rows repeated with one id are one document of its class; a null id is
 never the class id, and its row is not kept if the class has another.
+
+Texts are read whole, however long; only the named columns are read, whatever others are called;
+``keep_one`` returns all columns and picks names of its own that the table does not have.
 """
 
 from __future__ import annotations

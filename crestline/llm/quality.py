@@ -24,6 +24,9 @@ score better than others like them.  Quantiles are found on a histogram of bins
 Defined cases: null or empty text has a null perplexity and is not kept; without trusted text all
 other documents are kept; a null language is a language of its own; repeated rows each give their
 row; a document with several labels is trusted if all of them are.
+
+Texts are read whole, however long; only the named columns are read, whatever others are called;
+``keep_good`` returns all columns and picks a name of its own that the table does not have.
 """
 
 from __future__ import annotations

@@ -19,6 +19,9 @@ whole texts; tokenizers of another make, and texts with an added token in them,
 Defined cases: null or empty text is the end id alone; rows repeated with one key are kept as
 so many documents next to each other, the index entry holds their number; null keys come first
 and are in the shards but not in the index; an empty table gives empty shards and no bucket.
+
+Texts are read whole, however long; only the named columns are read, whatever others are called;
+documents without a key are the first rows of the store and are read back by position.
 """
 
 from __future__ import annotations

@@ -14,6 +14,8 @@ Defined cases: vectors that are null, or hold a null or non-finite component, ta
 vectors meet only vectors of the same length; a row is not a candidate of a query with its own
 id; a query row given twice is asked once; fewer candidates than k give fewer rows; null ids
 take no part; an empty table gives an empty result.
+
+Only the named columns are read, whatever others are called.
 """
 
 from __future__ import annotations
