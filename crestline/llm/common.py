@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -38,6 +39,16 @@ def discard(df: DataFrame) -> None:
         where.delete_dir(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished queries removed now, from every executor's disk.
+
+    Spark removes them once the driver's objects of a query are collected, which a driver with memory
+    to spare puts off while the files of one query after the other add up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give Python workers this package wherever they run, once for each application."""
     context = spark.sparkContext

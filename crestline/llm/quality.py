@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crestline.llm import bloom
-from crestline.llm.common import discard, fresh, materialize, read_table, small_batches
+from crestline.llm.common import discard, fresh, materialize, read_table, release, small_batches
 from crestline.llm.shingles import word_hashes
 from crestline.llm.spans import mix64
 
@@ -325,6 +325,7 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
         F.sum("n").alias("c"), F.max("cost").alias("cost")
     )
     pairs = materialize(pairs, "quality-pairs")
+    release(spark)
     words = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.max("cost").alias("cost"), F.sum("c").alias("often"))
     words = materialize(words, "quality-words")
 
@@ -352,6 +353,7 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
     ).mapInArrow(name, "gram long, gain double, often long")
     gains = materialize(single.unionByName(both), "quality-gains")
     discard(pairs)
+    release(spark)
     # The least power of two that no more than HOT n-grams reach: one row per power.
     power = F.floor(F.log2("often"))
     least, total = 63, 0
@@ -531,6 +533,9 @@ def keep_good(
     marked = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(key).cast("long").alias("key"), mark.alias("mark"))
     model = train(docs, labels, key=key, text=text)
     rows = materialize(scored(marked, model, extra=[F.col("key"), F.col("lang"), F.col("mark")]), "quality-scores")
+    if model:
+        discard(model.gains)
+    release(spark)
     most = {r.lang: r.most for r in thresholds(rows, labels, quantile).collect()}
     limit = _limit(F.col("lang"), most)
     stays = F.col("bits").isNotNull() & (limit.isNull() | (F.col("bits") <= limit))
