@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from crestline.llm import decontam, minhash, mixing, quality, token_store
-from crestline.llm.common import materialize, read_table
+from crestline.llm.common import materialize, read_table, release
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, on shingles of five words."""
+    release(spark)
     return minhash.keep_one(docs)
 
 
