@@ -14,6 +14,11 @@ rows of (document, n-gram, count) are joined to the values, sharded by n-gram.
 most ``HOT`` most frequent n-grams are added in the task instead, so that no frequent word meets
 in one place, and a Bloom filter of bounded size leaves out most n-grams the model does not know.
 
+Both sides are worked on in ``SLICES`` parts by the hash of the word or n-gram, one after the other:
+texts are read once and their n-grams written compactly, a folder for each part, and what a part
+shuffles is removed before the next one starts.  So the disk in use is that of the tables, with
+a part of the shuffles beside it.
+
 Words backing off to single words do not see what a capital or a number follows, so the word
 model is interpolated log-linearly, in equal parts, with the running characters of the text.  A
 document's score is bits per word, the end included, its perplexity 2 to that power.  It is kept if the score
@@ -34,7 +39,7 @@ from __future__ import annotations
 import string
 import unicodedata
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +58,8 @@ HELD_OUT = 4
 BIN = 0.002
 CHUNK = 1 << 20
 HOT = 1 << 20
+_PART_BITS = 3
+SLICES = 1 << _PART_BITS
 _MARKS = " .,;:!?'\"()-|/%"
 BLANK = 29
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -258,6 +265,19 @@ def end_bits(bits: np.ndarray) -> float:
     return float(bits[sum(BLANK * SYMBOLS**k for k in range(ORDER))])
 
 
+def part_of(hashes: np.ndarray) -> np.ndarray:
+    """Which of the parts a hash is in: its highest bits."""
+    return (hashes.view(np.uint64) >> np.uint64(64 - _PART_BITS)).astype(np.int32)
+
+
+def _in_part(name: str, k: int) -> Column:
+    return F.shiftrightunsigned(name, 64 - _PART_BITS) == k
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix64(mix64(v) * _STEP + w)
 
@@ -278,14 +298,18 @@ def word_rows(bits: np.ndarray, run: list[str | None]) -> tuple[np.ndarray, np.n
 
 @dataclass(frozen=True)
 class Words:
-    """The model: spelling, bits to leave the known words, and a table (gram, gain) of n-grams."""
+    """The model: spelling, bits to leave the known words, and tables (gram, gain) of n-grams."""
 
     spell: Model
     leave: float
-    gains: DataFrame
+    parts: list[DataFrame]  # a table for each part: pairs by their second word, single words by themselves
     hot: tuple[np.ndarray, np.ndarray]  # the most frequent n-grams in order, and their gains
     known: np.ndarray  # Bloom filter of all others
 
+    @property
+    def gains(self) -> DataFrame:
+        return _all(self.parts)
+
 
 def _gain(share: Column, below: Column) -> Column:
     """Bits won by a discounted share over the bits it has without it."""
@@ -299,6 +323,7 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
     if spell is None:
         return None
     spark = trusted.sparkSession
+    release(spark)
     shared = spark.sparkContext.broadcast(spell)
 
     def count(batches):
@@ -313,47 +338,60 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
                 again = np.ones(len(own), bool)
                 again[np.unique(words[own + 1], return_index=True)[1]] = False
                 cols = [words[own].view(np.int64), words[own + 1].view(np.int64), n.astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(cost[own + 1], mask=again)], names=["v", "w", "n", "cost"])
+                cols = [*map(pa.array, cols), pa.array(cost[own + 1], mask=again), pa.array(part_of(words[own + 1]))]
+                yield pa.RecordBatch.from_arrays(cols, names=["v", "w", "n", "cost", "part"])
 
     def name(batches):
         for b in batches:
             v, w = (b.column(c).to_numpy().view(np.uint64) for c in ("v", "w"))
             yield pa.RecordBatch.from_arrays([pa.array(pair_keys(v, w).view(np.int64)), b.column("gain"), b.column("often")], names=["gram", "gain", "often"])
 
-    named = trusted.select(F.col(text).alias("text")).where("text is not null and text <> ''")
-    pairs = named.mapInArrow(count, "v long, w long, n long, cost double").groupBy("v", "w").agg(
-        F.sum("n").alias("c"), F.max("cost").alias("cost")
-    )
-    pairs = materialize(pairs, "quality-pairs")
-    release(spark)
-    words = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.max("cost").alias("cost"), F.sum("c").alias("often"))
-    words = materialize(words, "quality-words")
-
     def off(d: list[float]) -> Column:
         return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
 
-    own = off(_discounts(words))
-    whole = words.agg(F.sum("c").alias("total"), F.sum(own).alias("off")).first()
+    named = trusted.select(F.col(text).alias("text")).where("text is not null and text <> ''")
+    counted = materialize(named.mapInArrow(count, "v long, w long, n long, cost double, part int"), "quality-counted", by="part")
+    release(spark)
+    pairs, words = [], []
+    for k in range(SLICES):  # by the second word
+        part = counted.where(F.col("part") == k)
+        own = materialize(part.groupBy("v", "w").agg(F.sum("n").alias("c")), "quality-pairs")
+        cost = part.where("cost is not null").groupBy("w").agg(F.max("cost").alias("cost"))
+        of = own.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("c").alias("often"))
+        pairs.append(own)
+        words.append(materialize(of.join(cost.hint("merge"), "w"), "quality-words"))
+        discard(counted, f"/part={k}")
+        release(spark)
+
+    own = off(_discounts(_all(words)))
+    whole = _all(words).agg(F.sum("c").alias("total"), F.sum(own).alias("off")).first()
     leave = float(np.log2(whole.total) - np.log2(whole.off))
     below = F.col("cost") + leave
-    words = words.select("w", "often", "cost", _gain((F.col("c") - own) / float(whole.total), below).alias("gain"))
-    cut = off(_discounts(pairs))
-    # Bits that a context adds to whatever follows it unseen.
-    contexts = pairs.groupBy("v").agg(F.sum("c").alias("total"), F.sum(cut).alias("off"))
-    contexts = contexts.select("v", "total", (F.log2("total") - F.log2("off")).alias("down"))
-    single = (
-        words.select(F.col("w").alias("gram"), "gain", "often")
-        .unionByName(contexts.select(F.col("v").alias("gram"), (-F.col("down")).alias("gain"), F.col("total").alias("often")))
-        .groupBy("gram").agg(F.sum("gain").alias("gain"), F.max("often").alias("often"))
-    )
-    met = pairs.select("v", "w", "c").join(contexts.hint("merge"), "v").join(words.drop("often").hint("merge"), "w")
-    both = met.select(
-        "v", "w", _gain((F.col("c") - cut) / F.col("total"), F.col("down") + F.col("cost") + leave - F.col("gain")).alias("gain"),
-        F.col("c").alias("often"),
-    ).mapInArrow(name, "gram long, gain double, often long")
-    gains = materialize(single.unionByName(both), "quality-gains")
-    discard(pairs)
+    cut = off(_discounts(_all(pairs)))
+    contexts = materialize(_all(pairs).groupBy("v").agg(F.sum("c").alias("total"), F.sum(cut).alias("off")), "quality-contexts")
     release(spark)
+    # Bits that a context adds to whatever follows it unseen.
+    follow = contexts.select("v", "total", (F.log2("total") - F.log2("off")).alias("down"))
+    parts = []
+    for k in range(SLICES):
+        known = words[k].select("w", "often", "cost", _gain((F.col("c") - own) / float(whole.total), below).alias("gain"))
+        first = follow.where(_in_part("v", k)).select(F.col("v").alias("gram"), (-F.col("down")).alias("gain"), F.col("total").alias("often"))
+        single = (
+            known.select(F.col("w").alias("gram"), "gain", "often").unionByName(first)
+            .groupBy("gram").agg(F.sum("gain").alias("gain"), F.max("often").alias("often"))
+        )
+        # The sides that are built have one row a key, a part of the model in all.
+        met = pairs[k].join(follow.hint("shuffle_hash"), "v").join(known.drop("often").hint("shuffle_hash"), "w")
+        both = met.select(
+            "v", "w", _gain((F.col("c") - cut) / F.col("total"), F.col("down") + F.col("cost") + leave - F.col("gain")).alias("gain"),
+            F.col("c").alias("often"),
+        ).mapInArrow(name, "gram long, gain double, often long")
+        parts.append(materialize(single.unionByName(both), "quality-gains"))
+        discard(pairs[k])
+        discard(words[k])
+        release(spark)
+    discard(contexts)
+    gains = _all(parts)
     # The least power of two that no more than HOT n-grams reach: one row per power.
     power = F.floor(F.log2("often"))
     least, total = 63, 0
@@ -365,8 +403,10 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
     table = gains.where(power >= least).select("gram", "gain").toArrow()
     gram, gain = table.column(0).to_numpy(), table.column(1).to_numpy()
     order = np.argsort(gram)
-    rest = gains.where(power < least).select("gram", "gain")
-    return Words(spell, leave, rest, (gram[order], gain[order]), bloom.build(rest.select("gram")))
+    rest = [p.where(power < least).select("gram", "gain") for p in parts]
+    known = bloom.build(_all(rest).select("gram"))
+    release(spark)
+    return Words(spell, leave, rest, (gram[order], gain[order]), known)
 
 
 def trusted_ids(labels: DataFrame, held_out: bool, key: str = "doc_id") -> DataFrame:
@@ -402,7 +442,7 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
 
 
 def _row_scores(bits: np.ndarray, leave: float, hot: tuple, known: np.ndarray, texts: list[str | None]):
-    """Words and bits of each text by what its task knows; text, n-gram and count of the rest."""
+    """Words and bits of each text by what its task knows; text, n-gram, its part and count of the rest."""
     size, sums, rest = np.zeros(len(texts), np.int64), np.zeros(len(texts)), []
     at = 0
     for run in _groups(texts):
@@ -414,20 +454,21 @@ def _row_scores(bits: np.ndarray, leave: float, hot: tuple, known: np.ndarray, t
         pair = np.flatnonzero(text[1:] == text[:-1])
         grams = np.concatenate([words, pair_keys(words[pair], words[pair + 1])]).view(np.int64)
         of = np.concatenate([text, text[pair]])
+        part = part_of(np.concatenate([words, words[pair + 1]]))
         place = np.minimum(np.searchsorted(hot[0], grams), max(len(hot[0]) - 1, 0))
         if len(hot[0]):
             found = hot[0][place] == grams
             sums[at : at + len(run)] -= np.bincount(of[found], hot[1][place[found]], len(run))
-            grams, of = grams[~found], of[~found]
+            grams, of, part = grams[~found], of[~found], part[~found]
         some = bloom.maybe(known, grams)
-        grams, of = grams[some], of[some]
+        grams, of, part = grams[some], of[some], part[some]
         order = np.lexsort((grams, of))
-        grams, of = grams[order], of[order]
+        grams, of, part = grams[order], of[order], part[order]
         new = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (of[1:] != of[:-1])])) if len(of) else np.zeros(0, np.int64)
-        rest.append((at + of[new], grams[new], np.diff(new, append=len(of))))
+        rest.append((at + of[new], grams[new], part[new], np.diff(new, append=len(of))))
         at += len(run)
-    text, grams, n = (np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, np.int64),) * 3
-    return size, sums, text, grams, n
+    text, grams, part, n = (np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, np.int64),) * 4
+    return size, sums, text, grams, part.astype(np.int32), n
 
 
 def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: list[Column] | None = None) -> DataFrame:
@@ -447,25 +488,32 @@ def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: l
         bits = spell.bits()
         for b in batches:
             texts = b.column("_text").to_pylist()
-            size, sums, of, grams, n = _row_scores(bits, leave, hot, known, texts)
+            size, sums, of, grams, part, n = _row_scores(bits, leave, hot, known, texts)
             row = b.column("_row").to_numpy()
-            names = ["row", "gram", "n", "bits", "own"]
-            # The row of the text itself has an n-gram that spreads it and no count.
+            names = ["row", "gram", "n", "bits", "own", "part"]
+            # The rows of the texts themselves are in a part of their own.
             empty = pa.array([not t for t in texts], pa.bool_())
             total = pa.array(sums / (2 * size), mask=empty.to_numpy(zero_copy_only=False))
-            spread = mix64(row.view(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(spread), pa.nulls(len(row), pa.float64()), total, b.column("_own")], names=names)
+            texts_part = pa.array(np.full(len(row), SLICES, np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_row"), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.float64()), total, b.column("_own"), texts_part], names=names
+            )
             has = np.array([bool(t) for t in texts], bool)[of]
-            of, grams, n = of[has], grams[has], n[has]
+            of, grams, part, n = of[has], grams[has], part[has], n[has]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row[of]), pa.array(grams), pa.array(n / (2 * size[of])), pa.nulls(len(of), pa.float64()), pa.nulls(len(of), b.column("_own").type)], names=names
+                [pa.array(row[of]), pa.array(grams), pa.array(n / (2 * size[of])), pa.nulls(len(of), pa.float64()), pa.nulls(len(of), b.column("_own").type),
+                 pa.array(part)], names=names
             )
 
-    rows = named.mapInArrow(scan, f"row long, gram long, n double, bits double, own {own}")
-    met = rows.join(model.gains.hint("merge"), "gram", "left")
-    met = met.groupBy("row").agg(
-        F.max("bits").alias("bits"), F.sum(F.col("n") * F.coalesce("gain", F.lit(0.0))).alias("gain"), F.first("own", True).alias("own")
-    )
+    rows = materialize(named.mapInArrow(scan, f"row long, gram long, n double, bits double, own {own}, part int"), "quality-rows", by="part")
+    sums = []
+    for k, gains in enumerate(model.parts):
+        met = rows.where(F.col("part") == k).join(gains.hint("shuffle_hash"), "gram")
+        sums.append(materialize(met.groupBy("row").agg(F.sum(F.col("n") * F.col("gain")).alias("gain")), "quality-sums"))
+        discard(rows, f"/part={k}")
+        release(spark)
+    won = _all(sums).groupBy("row").agg(F.sum("gain").alias("gain"))
+    met = rows.where(F.col("part") == SLICES).join(won.hint("merge"), "row", "left")
     return met.select(*[F.col("own").getField(c).alias(c) for c in kept], F.round(F.col("bits") - F.coalesce("gain", F.lit(0.0)), 6).alias("bits"))
 
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import edge
 import numpy as np
@@ -152,3 +154,24 @@ def test_words_are_counted_as_they_stand(spark):
     docs = spark.createDataFrame([(common,), (strange,)], "text string")
     got = {r.t: r.bits for r in quality.scored(docs, many, extra=[quality.F.col("text").alias("t")]).collect()}
     assert got[common] < got[strange] - 0.5
+
+
+def test_no_part_of_the_pairs_is_the_whole(spark, monkeypatch):
+    """N-grams are worked on in parts, each of which leaves the disk before the next one comes."""
+    sizes, held = [], []
+
+    def written(df, purpose, by=None):
+        out = materialize(df, purpose, by)
+        if purpose == "quality-pairs":
+            sizes.append(out.count())
+            held.append(out)
+        return out
+
+    materialize = quality.materialize
+    monkeypatch.setattr(quality, "materialize", written)
+    texts = [edge.prose(i, 100) for i in range(20)]
+    model = quality.fit_words(spark.createDataFrame([(t,) for t in texts], "text string"))
+    want = {p for t in texts for w in [["<", *t.split(), ">"]] for p in zip(w, w[1:])}
+    assert sum(sizes) == len(want) and max(sizes) < len(want) / 2
+    assert not any(Path(urlparse(f).path).exists() for df in held for f in df.inputFiles())
+    assert model.gains.count() + len(model.hot[0]) >= len(want)
