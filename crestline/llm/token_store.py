@@ -13,8 +13,9 @@ that bit is the entry.  Number of steps and bytes read do not depend on the size
 The stored fingerprint turns away keys that were never put in (wrongly accepted: 2**-32).
 
 Texts are encoded with a ``tokenizers`` file.  Pieces between the splitting points of its
-byte-level pre-tokenizer are encoded once and remembered, which gives the same ids as encoding
-whole texts; tokenizers of another make, and texts with an added token in them, are encoded whole.
+byte-level pre-tokenizer are encoded once, by the library's model, and remembered, which gives the
+same ids as encoding whole texts; tokenizers of another make, and texts with an added token in them,
+are encoded whole.
 
 Defined cases: null or empty text is the end id alone; rows repeated with one key are kept as
 so many documents next to each other, the index entry holds their number; null keys come first
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -50,6 +52,10 @@ REMEMBERED = 400_000
 HASHED_AT_ONCE = 1 << 18
 ENTRY = np.dtype([("print", "<u4"), ("shard", "<u4"), ("row", "<u8"), ("rows", "<u4")])
 LETTER, NUMBER, OTHER, SPACE, UNKNOWN = 0, 1, 2, 3, 255
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+# The character that stands for each byte in a byte-level vocabulary; 255, which is in no UTF-8, parts pieces.
+_BYTE_CHARS = "".join(_HIDDEN.get(b, chr(b)) for b in range(255)) + "\n"
 
 
 # ---------------------------------------------------------------- encoding
@@ -106,6 +112,7 @@ class Encoder:
         self.by_piece = (
             made["model"]["type"] == "BPE" and not made["model"].get("dropout") and made.get("normalizer") is None
             and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+            and made.get("truncation") is None and made.get("padding") is None
         )
         self.split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
         self.kinds = np.full(0x110000, UNKNOWN, np.uint8)
@@ -117,6 +124,18 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _pieces_alone(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that the pre-tokenizer does not split, by the model itself: what the library
+        keeps of a text beside its ids takes several times longer than the ids of a word."""
+        tokenize, ids, ends = self.tokenizer.model.tokenize, [], [0]
+        shown, _ = charmap_decode(b"\xff".join([p.encode() for p in pieces]), "strict", _BYTE_CHARS)
+        for piece in shown.split("\n"):
+            ids += [t.id for t in tokenize(piece)]
+            ends.append(len(ids))
+        raw = self._bytes(ids)
+        at = [e * self.width for e in ends]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
     def _learn_kinds(self, codes: np.ndarray) -> None:
         """Ask the library which class of its splitting pattern each new character is in."""
         for code in np.unique(codes).tolist():
@@ -164,11 +183,13 @@ class Encoder:
         pieces = [all_text[a:b] for a, b in zip(edges[one].tolist(), edges[one + 1].tolist())]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set(pieces).difference(self.known))
-        if new:
-            self.known.update(zip(new, self.whole(new)))
         distinct = np.empty(len(pieces), object)
-        distinct[:] = [self.known[p] for p in pieces]
+        distinct[:] = list(map(self.known.get, pieces))
+        missing = np.flatnonzero(distinct == None).tolist()  # noqa: E711
+        if missing:
+            new = [pieces[i] for i in missing]
+            distinct[missing] = made = self._pieces_alone(new)
+            self.known.update(zip(new, made))
         found = distinct[which].tolist()
         return [b"".join(found[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 

@@ -32,6 +32,26 @@ def test_encoder_equals_library(tokenizer):
     assert not whole.by_piece and whole.encode(["Hello there"])
 
 
+def test_pieces_go_to_the_model_alone(tokenizer, monkeypatch):
+    """All of the library's bookkeeping for every new word took most of the time."""
+    r = random.Random(2)
+    letters = [chr(c) for c in range(0x180)] + list("   ''\n\u3000漢😀\u00ad")
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(1, 60))) for _ in range(2000)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    encoder = Encoder(PATH)
+    monkeypatch.setattr(encoder, "whole", lambda texts: pytest.fail("whole texts encoded"))
+    for _ in range(2):  # new and remembered
+        assert [np.frombuffer(g, "<u2").tolist() for g in encoder.encode(texts)] == want
+
+
+def test_truncating_tokenizers_encode_whole_texts(tokenizer, tmp_path):
+    cut = Tokenizer.from_file(PATH)
+    cut.enable_truncation(3)
+    cut.save(str(tmp_path / "cut.json"))
+    encoder = Encoder(str(tmp_path / "cut.json"))
+    assert [len(g) // encoder.width for g in encoder.encode(["one two three four five"])] == [3]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 30_000])
 def test_hash_is_perfect_and_minimal(n):
     keys = np.array(random.Random(n).sample(range(-10**15, 10**15), n), np.int64)
