@@ -12,7 +12,8 @@ then against the least nodes of the buckets that still hold several components;
 buckets where that leaves several, every node outside the bucket's largest component is
 verified against those nodes of other components that share a shingle with it among the rarest
 of both, which all similar enough ones do.  Verification intersects whole sets.  Nodes that are
-connected already need no further pair, so the classes are those of all links.
+connected already need no further pair, so the classes are those of all links.  Each round goes on from
+the components of the one before, and most rounds change little.
 
 Components are found by alternating large-star and small-star steps over tables in the shared
 folder; nothing of documents, links or components goes through the driver.
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crestline.llm.common import fresh, materialize, read_table, small_batches
+from crestline.llm.common import fresh, materialize, read_table, release, small_batches
 from crestline.llm.shingles import shingle_sets
 from crestline.llm.spans import mix64
 
@@ -207,7 +208,7 @@ def components(links: DataFrame) -> DataFrame:
     """node, root (least node reachable) of every node with a link."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges = materialize(edges, "components")
-    before = None
+    before = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -216,10 +217,19 @@ def components(links: DataFrame) -> DataFrame:
         moved = large.join(least, "u")
         small = moved.select("u", F.col("m").alias("v")).unionByName(moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = materialize(small.distinct(), "components")
-        state = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        if tuple(state) == before:
+        state = _state(edges)
+        if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = tuple(state)
+        before = state
+
+
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+
+
+def _more(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with some links more: known ones go in as they are, not as the links they came from."""
+    return components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(links))
 
 
 def near_duplicates(
@@ -235,6 +245,7 @@ def near_duplicates(
 
 def _classes(docs: DataFrame, *, key: str, text: str, width: int, percent: int) -> DataFrame:
     """key, mark, n, node, root and component_id of every row; node, root and id null for empty sets."""
+    spark = docs.sparkSession
     rows = materialize(sketches(docs, key=key, text=text, width=width), "minhash-sketches")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("key").alias("key"), F.first("bands").alias("bands"))
     nodes = materialize(nodes, "minhash-nodes")
@@ -250,30 +261,31 @@ def _classes(docs: DataFrame, *, key: str, text: str, width: int, percent: int)
     best = to_least.groupBy("node").agg(F.max_by("least", F.struct("n", -F.col("least"))).alias("least"))
     links = _verified(best.select(F.col("least").alias("a"), F.col("node").alias("b")), sets, percent)
 
-    def open_buckets(found: DataFrame) -> DataFrame:
+    def open_buckets(roots: DataFrame) -> DataFrame:
         """Members, with their components, of the buckets that hold more than one."""
-        roots = components(found)
         placed = members.join(roots, "node", "left").select("bucket", "least", "node", F.coalesce("root", "node").alias("root"))
         mixed = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
         return materialize(placed.join(mixed.select("bucket"), "bucket"), "minhash-open")
 
     done = materialize(best.select(F.col("least").alias("a"), F.col("node").alias("b")), "minhash-pairs")
-    left = open_buckets(links)
+    roots = components(links)
+    left = open_buckets(roots)
+    release(spark)
     centre = left.where("node = least").select("bucket", F.col("root").alias("of"))
     pairs = left.join(centre, "bucket").where("root <> of").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     pairs = materialize(pairs.join(done, ["a", "b"], "left_anti"), "minhash-pairs")
-    links = links.unionByName(_verified(pairs, sets, percent))
+    roots = _more(roots, _verified(pairs, sets, percent))
 
-    left = open_buckets(links)
+    left = open_buckets(roots)
+    release(spark)
     sizes = left.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     few = left.join(main, "bucket").where("root <> main").select("node").distinct().withColumn("few", F.lit(True))
     open_nodes = materialize(left.select("node", "root").distinct().join(few, "node", "left"), "minhash-open-nodes")
     rest = _prefix_pairs(open_nodes, sets, percent)
     rest = materialize(rest.join(done.unionByName(pairs), ["a", "b"], "left_anti"), "minhash-pairs")
-    links = links.unionByName(_verified(rest, sets, percent))
-
-    roots = components(links)
+    roots = _more(roots, _verified(rest, sets, percent))
+    release(spark)
     rooted = nodes.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
     labelled = materialize(rooted.join(least, "root").select("node", "root", "component_id"), "minhash-labels")

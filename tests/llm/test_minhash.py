@@ -120,3 +120,14 @@ def test_components_of_a_long_path(spark):
 def test_query_equals_sql(spark):
     got = oracle.spark_result(minhash.op3_minhash_dedup(spark, SF_DIR))
     assert got == oracle.duckdb_result(oracle.connect(SF_DIR), minhash.NEAR_SQL)
+
+
+def test_known_components_are_not_found_anew(spark, monkeypatch):
+    written, materialize = [], minhash.materialize
+    monkeypatch.setattr(minhash, "materialize", lambda df, purpose: written.append(purpose) or materialize(df, purpose))
+    roots = minhash.components(spark.createDataFrame([(i, i + 1) for i in range(12)] + [(20, 21)], "a long, b long"))
+    written.clear()
+    again = minhash._more(roots, spark.createDataFrame([], "a long, b long"))
+    assert written == ["components"] * 2 and sorted(again.collect()) == sorted(roots.collect())
+    more = minhash._more(roots, spark.createDataFrame([(20, 12), (30, 31)], "a long, b long"))
+    assert {r.node: r.root for r in more.collect()} == {**{i: 0 for i in [*range(1, 13), 20, 21]}, 31: 30}
