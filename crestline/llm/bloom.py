@@ -39,7 +39,9 @@ def build(keys: DataFrame) -> np.ndarray:
         parts = [np.frombuffer(p, np.uint8) for p in table["part"].to_pylist()]
         return pa.table({"at": table["at"][:1], "part": pa.array([np.bitwise_or.reduce(parts).tobytes()], pa.binary())})
 
-    spread = keys.mapInArrow(fill, "at long, part binary")
+    # A task for each core: every task writes a filter of its own, whatever its share of the keys.
+    own_tasks = keys.sparkSession.sparkContext.defaultParallelism
+    spread = keys.coalesce(own_tasks).mapInArrow(fill, "at long, part binary")
     out = np.zeros(max(bits // 8, 1), np.uint8)
     for r in spread.groupBy("at").applyInArrow(merge, "at long, part binary").collect():
         part = np.frombuffer(r.part, np.uint8)

@@ -14,10 +14,11 @@ rows of (document, n-gram, count) are joined to the values, sharded by n-gram.
 most ``HOT`` most frequent n-grams are added in the task instead, so that no frequent word meets
 in one place, and a Bloom filter of bounded size leaves out most n-grams the model does not know.
 
-Both sides are worked on in ``SLICES`` parts by the hash of the word or n-gram, one after the other:
-texts are read once and their n-grams written compactly, a folder for each part, and what a part
-shuffles is removed before the next one starts.  So the disk in use is that of the tables, with
-a part of the shuffles beside it.
+Both sides are worked on in ``SLICES`` parts by the hash of the word or n-gram, some after the others:
+n-grams are written compactly, a folder for each part, and what a part shuffles is removed before the
+next one starts.  Texts are scored in ``PORTIONS`` by a hash, each with all parts of the model, as
+their n-grams take more room than anything else.  So the disk in use is that of the model and of the
+n-grams of a portion, with a part of the shuffles beside it.
 
 Words backing off to single words do not see what a capital or a number follows, so the word
 model is interpolated log-linearly, in equal parts, with the running characters of the text.  A
@@ -60,6 +61,8 @@ CHUNK = 1 << 20
 HOT = 1 << 20
 _PART_BITS = 3
 SLICES = 1 << _PART_BITS
+PORTIONS = 3  # of the texts that are scored
+JOINED = 2  # parts at a time
 _MARKS = " .,;:!?'\"()-|/%"
 BLANK = 29
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -455,8 +458,9 @@ def _row_scores(bits: np.ndarray, leave: float, hot: tuple, known: np.ndarray, t
         grams = np.concatenate([words, pair_keys(words[pair], words[pair + 1])]).view(np.int64)
         of = np.concatenate([text, text[pair]])
         part = part_of(np.concatenate([words, words[pair + 1]]))
-        place = np.minimum(np.searchsorted(hot[0], grams), max(len(hot[0]) - 1, 0))
         if len(hot[0]):
+            order, place = np.argsort(grams), np.empty(len(grams), np.int64)  # looked up in order: near ones together
+            place[order] = np.minimum(np.searchsorted(hot[0], grams[order]), len(hot[0]) - 1)
             found = hot[0][place] == grams
             sums[at : at + len(run)] -= np.bincount(of[found], hot[1][place[found]], len(run))
             grams, of, part = grams[~found], of[~found], part[~found]
@@ -480,8 +484,6 @@ def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: l
     if model is None:
         return named.select(*kept, F.when(F.length("_text") > 0, 0.0).alias("bits"))
     shared = spark.sparkContext.broadcast((model.spell, model.leave, model.hot, model.known))
-    named = named.select(F.monotonically_increasing_id().alias("_row"), F.struct(*kept).alias("_own") if kept else F.lit(0).alias("_own"), "_text")
-    own = dict(named.dtypes)["_own"]
 
     def scan(batches):
         spell, leave, hot, known = shared.value
@@ -505,16 +507,25 @@ def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: l
                  pa.array(part)], names=names
             )
 
-    rows = materialize(named.mapInArrow(scan, f"row long, gram long, n double, bits double, own {own}, part int"), "quality-rows", by="part")
-    sums = []
-    for k, gains in enumerate(model.parts):
-        met = rows.where(F.col("part") == k).join(gains.hint("shuffle_hash"), "gram")
-        sums.append(materialize(met.groupBy("row").agg(F.sum(F.col("n") * F.col("gain")).alias("gain")), "quality-sums"))
-        discard(rows, f"/part={k}")
-        release(spark)
-    won = _all(sums).groupBy("row").agg(F.sum("gain").alias("gain"))
-    met = rows.where(F.col("part") == SLICES).join(won.hint("merge"), "row", "left")
-    return met.select(*[F.col("own").getField(c).alias(c) for c in kept], F.round(F.col("bits") - F.coalesce("gain", F.lit(0.0)), 6).alias("bits"))
+    # By values, not by place: the same rows in each portion, however often the table is worked out.
+    of_row = F.pmod(F.xxhash64("_text", *[c for c, kind in named.dtypes[:-1] if "map<" not in kind]), F.lit(PORTIONS))
+    portions = []
+    for p in range(PORTIONS):
+        some = named.where(of_row == p).select(F.monotonically_increasing_id().alias("_row"), F.struct(*kept).alias("_own") if kept else F.lit(0).alias("_own"), "_text")
+        own = dict(some.dtypes)["_own"]
+        rows = materialize(some.mapInArrow(scan, f"row long, gram long, n double, bits double, own {own}, part int"), "quality-rows", by="part")
+        sums = []
+        for k in range(0, SLICES, JOINED):
+            gains = _all(model.parts[k : k + JOINED])
+            met = rows.where(F.col("part").between(k, k + JOINED - 1)).join(gains.hint("shuffle_hash"), "gram")
+            sums.append(materialize(met.groupBy("row").agg(F.sum(F.col("n") * F.col("gain")).alias("gain")), "quality-sums"))
+            for j in range(k, k + JOINED):
+                discard(rows, f"/part={j}")
+            release(spark)
+        won = _all(sums).groupBy("row").agg(F.sum("gain").alias("gain"))
+        met = rows.where(F.col("part") == SLICES).join(won.hint("merge"), "row", "left")
+        portions.append(met.select(*[F.col("own").getField(c).alias(c) for c in kept], F.round(F.col("bits") - F.coalesce("gain", F.lit(0.0)), 6).alias("bits")))
+    return _all(portions)
 
 
 def thresholds(scores: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:

@@ -175,3 +175,33 @@ def test_no_part_of_the_pairs_is_the_whole(spark, monkeypatch):
     assert sum(sizes) == len(want) and max(sizes) < len(want) / 2
     assert not any(Path(urlparse(f).path).exists() for df in held for f in df.inputFiles())
     assert model.gains.count() + len(model.hot[0]) >= len(want)
+
+
+def test_no_portion_of_the_texts_is_the_whole(spark, monkeypatch):
+    """N-grams of the texts that are scored take most of the disk, so only some are there at a time."""
+    texts = [edge.prose(i, 60) for i in range(30)] + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(quality, "HOT", 0)
+    model = quality.fit_words(docs)
+    counts, materialize = [], quality.materialize
+
+    def written(df, purpose, by=None):
+        out = materialize(df, purpose, by)
+        if purpose == "quality-rows":
+            assert not any(Path(urlparse(f).path).exists() for held in counts for f in held[1])
+            counts.append((out.count(), [f for f in out.inputFiles() if f"part={quality.SLICES}/" not in f]))
+        return out
+
+    monkeypatch.setattr(quality, "materialize", written)
+    got = quality.scored(docs, model, extra=[quality.F.col("text").alias("t")]).collect()
+    assert sorted(r.t or "" for r in got) == sorted(t or "" for t in texts)
+    assert len(counts) > 1 and max(n for n, _ in counts) < 0.7 * sum(n for n, _ in counts)
+
+
+def test_a_filter_is_filled_by_a_task_for_each_core(spark, monkeypatch):
+    tasks, frame = [], type(spark.range(0))
+    real = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda df, *a, **k: tasks.append(df.rdd.getNumPartitions()) or real(df, *a, **k))
+    cores = spark.sparkContext.defaultParallelism
+    made = quality.bloom.build(spark.range(0, 5000, 1, 8 * cores))
+    assert tasks == [cores] and quality.bloom.maybe(made, np.arange(5000)).all()
