@@ -23,6 +23,8 @@ DEPTH = 200
 IN_MEMORY = 32 << 20
 TOP = 255  # common prefixes are kept in a byte
 SEPARATOR = 0
+BLOCK = 32  # bytes of symbols compared at a time
+PAIRS = 1 << 18  # of suffixes compared at a time
 
 
 def array(n: int, dtype) -> np.ndarray:
@@ -89,14 +91,24 @@ def _types(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, left
 
 
+def _narrow(t: np.ndarray) -> np.ndarray:
+    """The symbols in a byte each if the highest byte is left over, as it is for UTF-8."""
+    if t.dtype.itemsize == 1 or int(t.max()) >= TOP:
+        return t
+    out = array(len(t), np.uint8)
+    out[:] = t
+    return out
+
+
 def _word(t: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Four symbols from each place; beyond its end the highest, for a suffix that ends in an
-    LMS place there is greater than one that goes on falling."""
+    """The symbols of eight bytes from each place; beyond its end the highest, for a suffix that
+    ends in an LMS place there is greater than one that goes on falling."""
     out = np.zeros(len(at), np.uint64)
-    for k in range(4):
+    width = 8 * t.dtype.itemsize
+    for k in range(64 // width):
         p = at + k
-        sym = np.where(p < end, t[np.minimum(p, len(t) - 1)].astype(np.uint64), np.uint64(0xFFFF))
-        out = out << np.uint64(16) | sym
+        sym = np.where(p < end, t[np.minimum(p, len(t) - 1)].astype(np.uint64), np.uint64((1 << width) - 1))
+        out = out << np.uint64(width) | sym
     return out
 
 
@@ -104,7 +116,13 @@ def _refine(rank: np.ndarray, active: np.ndarray, key: np.ndarray) -> np.ndarray
     """Split the classes of the active members by key; a rank is the first place of a class.
 
     Returns the members whose class still has others."""
-    order = np.lexsort((key, rank[active]))
+    order = np.argsort(key)
+    if rank[active].any():
+        # By rank and then key, as one number: keys count by their order.
+        k = key[order]
+        dense = np.empty(len(key), np.int64)
+        dense[order] = np.cumsum(np.append(False, k[1:] != k[:-1]))
+        order = np.argsort(rank[active] * (int(dense[order[-1]]) + 1) + dense)
     who = active[order]
     r, k = rank[who], key[order]
     new_class = np.append(True, r[1:] != r[:-1])
@@ -123,18 +141,19 @@ def _sorted_lms(t: np.ndarray, lms: np.ndarray) -> np.ndarray:
     rank = np.zeros(m, np.int64)
     if m < 2:
         return lms
+    step = 8 // t.dtype.itemsize
     end = np.append(lms[1:] + 1, len(t))
-    size = np.minimum(end - lms, DEPTH + 4)
+    size = np.minimum(end - lms, DEPTH + step)
     active = np.arange(m)
-    for at in range(0, int(size.max()), 4):
+    for at in range(0, int(size.max()), step):
         if not len(active):
             break
         active = _refine(rank, active, _word(t, lms[active] + at, end[active]))
         # Classes without a longer substring are equal to their end.
-        longer = np.unique(rank[active[size[active] > at + 4]])
-        active = active[np.isin(rank[active], longer)]
-    _, inverse, n = np.unique(rank, return_inverse=True, return_counts=True)
-    active = np.flatnonzero(n[inverse] > 1)
+        longer = np.zeros(m, bool)
+        longer[rank[active[size[active] > at + step]]] = True
+        active = active[longer[rank[active]]]
+    active = np.flatnonzero(np.bincount(rank, minlength=m)[rank] > 1)
     h = 1
     while len(active):
         there = active + h
@@ -148,23 +167,30 @@ def _sorted_lms(t: np.ndarray, lms: np.ndarray) -> np.ndarray:
 
 
 def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common prefix lengths of pairs of suffixes, to DEPTH."""
-    out = np.zeros(len(a), np.uint8)
-    todo = np.arange(len(a))
-    padded = np.append(t, np.zeros(4, t.dtype))
-    words = np.ndarray((len(t) + 1,), "<u8", np.ascontiguousarray(padded).data, 0, (2,))
-    for at in range(0, DEPTH, 4):
-        x, y = a[todo] + at, b[todo] + at
-        inside = np.minimum(len(t) - np.maximum(x, y), 4)
-        diff = words[np.minimum(x, len(t))] ^ words[np.minimum(y, len(t))]
-        low = diff & (~diff + np.uint64(1))
-        same = np.where(diff == 0, 4, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 16)
-        same = np.maximum(np.minimum(same, inside), 0)
-        out[todo] += same.astype(np.uint8)
-        todo = todo[same == 4]
-        if not len(todo):
-            break
-    return out
+    """Common prefix lengths of pairs of suffixes, to DEPTH; a block of symbols of both at a time."""
+    width, words = t.dtype.itemsize, BLOCK // 8
+    step = BLOCK // width
+    padded = np.append(t, np.zeros(step, t.dtype))
+    blocks = np.ndarray((len(t) + 1,), f"V{BLOCK}", padded.data, 0, (width,))
+    out = np.zeros(len(a), np.int64)
+    for low in range(0, len(a), PAIRS):
+        x, y = a[low : low + PAIRS], b[low : low + PAIRS]
+        todo, own = np.arange(len(x)), np.zeros(len(x), np.int64)
+        for at in range(0, DEPTH, step):
+            diff = blocks[np.minimum(x[todo] + at, len(t))].view("<u8") ^ blocks[np.minimum(y[todo] + at, len(t))].view("<u8")
+            differs = (diff != 0).reshape(-1, words)
+            ends = differs.any(1)
+            word = differs[ends].argmax(1)
+            last = diff.reshape(-1, words)[ends, word]
+            bit = np.log2((last & (~last + np.uint64(1))).astype(np.float64)).astype(np.int64)
+            own[todo[ends]] = at + word * (8 // width) + bit // (8 * width)
+            todo = todo[~ends]
+            if not len(todo):
+                break
+        own[todo] = TOP
+        out[low : low + PAIRS] = own
+    # What follows the end of the text is not common.
+    return np.minimum(np.minimum(out, -(-DEPTH // 4) * 4), len(t) - np.maximum(a, b)).astype(np.uint8)
 
 
 class _Pass:
@@ -230,10 +256,12 @@ def repeated(t: np.ndarray) -> np.ndarray:
     symbols = int(t.max()) + 1
     rising, runs = _types(t)
     lms = np.flatnonzero(rising[1:] & ~rising[:-1]) + 1
-    lms = _sorted_lms(t, lms)
+    narrow = _narrow(t)
+    lms = _sorted_lms(narrow, lms)
     lms_common = np.zeros(len(lms), np.uint8)
     if len(lms) > 1:
-        lms_common[1:] = _common(t, lms[1:], lms[:-1])
+        lms_common[1:] = _common(narrow, lms[1:], lms[:-1])
+    del narrow
     first = t[lms]
     edges = np.searchsorted(first, np.arange(symbols + 1))
 

@@ -83,3 +83,30 @@ def test_induced_sorting_equals_brute_force(seed, monkeypatch):
     seen = Counter(tuple(s[i : i + depth]) for i in range(len(s) - depth + 1))
     for i in range(len(s) - depth + 1):
         assert flags[i] == (seen[tuple(s[i : i + depth])] > 1)
+
+
+@pytest.mark.parametrize("most", [5, 254, 255, 256])
+def test_common_prefixes_equal_brute_force(most, monkeypatch):
+    """Any symbols, whether they fit a byte or not, and pairs that reach the end of the text."""
+    monkeypatch.setattr(induced, "PAIRS", 50)
+    r = random.Random(most)
+    s = [r.choice([0, 1, most]) for _ in range(300)]
+    s += s[20:250] + [0] * 40
+    t = induced._narrow(np.array(s, np.uint16))
+    assert t.dtype == (np.uint8 if most < 255 else np.uint16)
+    pairs = [(r.randrange(len(s)), r.randrange(len(s))) for _ in range(200)] + [(20, 300), (25, 305), (529, 569), (569, 540)]
+    pairs = [(a, b) for a, b in pairs if a != b]
+    got = induced._common(t, *(np.array(x) for x in zip(*pairs)))
+    for (a, b), n in zip(pairs, got.tolist()):
+        assert n == min(next((k for k in range(W) if max(a, b) + k >= len(s) or s[a + k] != s[b + k]), W), W)
+
+
+def test_texts_are_sorted_eight_bytes_at_a_time(monkeypatch):
+    """Contexts of one anchor are alike for long, so the work is that of comparing what they share."""
+    word, steps = induced._word, []
+    monkeypatch.setattr(induced, "_word", lambda t, at, end: steps.append(t.dtype) or word(t, at, end))
+    raw = edge.prose(5, 100).encode()[:400]
+    parts = [raw + bytes([97 + i]) * 100 + raw for i in range(20)]
+    keys, begun, ended = suffix_dedup.sort_shard(list(range(20)), parts)
+    assert sorted(zip(keys, begun, ended)) == [(i, a, a + 400) for i in range(20) for a in (0, 500)]
+    assert set(steps) == {np.dtype(np.uint8)} and len(steps) <= -(-W // 8) + 1
