@@ -12,10 +12,19 @@ MOST_BITS = 1 << 26  # 8 MB, whatever the number of keys; fuller filters let mor
 HASHES = 4
 
 
-def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+def _bases(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     base = mix64(keys.astype(np.int64).view(np.uint64))
-    step = mix64(base ^ np.uint64(0x5BF03635)) | np.uint64(1)
-    return np.stack([(base + np.uint64(i) * step) % np.uint64(bits) for i in range(HASHES)]).astype(np.int64)
+    return base, mix64(base ^ np.uint64(0x5BF03635)) | np.uint64(1)
+
+
+def _place(base: np.ndarray, step: np.ndarray, i: int, bits: int) -> np.ndarray:
+    """The bit of one of the hashes; the number of bits is a power of two."""
+    return ((base + np.uint64(i) * step) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    base, step = _bases(keys)
+    return np.stack([_place(base, step, i, bits) for i in range(HASHES)])
 
 
 def build(keys: DataFrame) -> np.ndarray:
@@ -51,5 +60,12 @@ def build(keys: DataFrame) -> np.ndarray:
 
 def maybe(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys may be in the filter; those left out surely are not."""
-    at = _places(keys, len(filter_) * 8)
-    return ((filter_[at >> 3] >> (7 - (at & 7))) & 1).all(0)
+    base, step = _bases(keys)
+    out = np.ones(len(keys), bool)
+    left = np.arange(len(keys))
+    for i in range(HASHES):  # of those that have had all bits so far
+        at = _place(base, step, i, len(filter_) * 8)
+        hit = ((filter_[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+        out[left[~hit]] = False
+        left, base, step = left[hit], base[hit], step[hit]
+    return out

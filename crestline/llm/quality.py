@@ -15,7 +15,7 @@ most ``HOT`` most frequent n-grams are added in the task instead, so that no fre
 in one place, and a Bloom filter of bounded size leaves out most n-grams the model does not know.
 
 Both sides are worked on in ``SLICES`` parts by the hash of the word or n-gram, some after the others:
-n-grams are written compactly, a folder for each part, and what a part shuffles is removed before the
+n-grams are written compactly, a folder for each part, those of a text as lists, and what a part shuffles is removed before the
 next one starts.  Texts are scored in ``PORTIONS`` by a hash, each with all parts of the model, as
 their n-grams take more room than anything else.  So the disk in use is that of the model and of the
 n-grams of a portion, with a part of the shuffles beside it.
@@ -62,7 +62,7 @@ HOT = 1 << 20
 _PART_BITS = 3
 SLICES = 1 << _PART_BITS
 PORTIONS = 3  # of the texts that are scored
-JOINED = 2  # parts at a time
+FEW = 5 << 20  # n-grams for which a query of their own does not pay
 _MARKS = " .,;:!?'\"()-|/%"
 BLANK = 29
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -243,24 +243,44 @@ def symbol_bits() -> np.ndarray:
     return out
 
 
-def spelling(bits: np.ndarray, texts: list[str | None]) -> np.ndarray:
-    """Bits to spell each word of all texts in turn, from nothing before it to the blank after it."""
-    s = np.frombuffer("".join((t or "") + " " for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")
-    blank = (s == 32) | ((s >= 9) & (s <= 13))
-    edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1, append=1))
-    starts, ends = edge[0::2], edge[1::2]
-    if not len(starts):
+def symbols(texts: list[str | None]) -> np.ndarray:
+    """Symbols of all texts in turn, a blank after each."""
+    return symbol_table()[np.frombuffer("".join((t or "") + " " for t in texts).encode("utf-32-le", "surrogatepass"), "<u4")]
+
+
+def spelling(bits: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Bits to spell each word of texts given as ``symbols``, from nothing before it to the blank after it."""
+    code, back = s.astype(np.uint32), s
+    for k in range(1, ORDER):  # nothing but blanks is before a word
+        before = np.full(len(s), BLANK, np.uint8)
+        before[k:] = s[: len(s) - k]
+        if k > 1:
+            before[back == BLANK] = BLANK
+        back = before
+        code += back.astype(np.uint32) * np.uint32(SYMBOLS**k)
+    edge = np.flatnonzero(np.diff((s == BLANK).view(np.int8), prepend=1))
+    if not len(edge):
         return np.zeros(0)
-    size = ends - starts + 1
-    first = np.cumsum(size) - size
-    place = np.arange(size.sum()) - np.repeat(first, size)
-    s = np.where(blank, BLANK, symbol_table()[s]).astype(np.uint32)[place + np.repeat(starts, size)]
-    code = np.zeros(len(s), np.uint32)
-    for k in range(ORDER - 1, -1, -1):
-        back = np.full(len(s), BLANK, np.uint32)
-        back[k:] = s[: len(s) - k]
-        code = code * np.uint32(SYMBOLS) + np.where(place >= k, back, np.uint32(BLANK))
-    return np.add.reduceat(bits[code] + symbol_bits()[s], first)
+    edge[1::2] += 1  # the blank after a word is a part of it
+    return np.add.reduceat(np.append(bits[code] + symbol_bits()[s], 0), edge)[::2]
+
+
+def running(bits: np.ndarray, s: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Bits of the running characters of each text, given as ``symbols``, and their numbers."""
+    ends = np.cumsum(size + 1) - 1
+    starts = ends - size
+    code = s.astype(np.uint32)
+    for k in range(1, ORDER):
+        before = np.zeros(len(s), np.uint32)
+        before[k:] = s[: len(s) - k]
+        for j in range(k):  # the edge of a text
+            before[np.minimum(starts + j, ends)] = 0
+        code += before * np.uint32(SYMBOLS**k)
+    own = bits[code]
+    own[ends] = 0  # the blanks between texts
+    sums = np.zeros(len(s) + 1)
+    np.cumsum(own, dtype=np.float64, out=sums[1:])
+    return sums[ends] - sums[starts]
 
 
 def end_bits(bits: np.ndarray) -> float:
@@ -285,7 +305,7 @@ def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix64(mix64(v) * _STEP + w)
 
 
-def word_rows(bits: np.ndarray, run: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_rows(bits: np.ndarray, run: list[str | None], s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of all texts in turn with both edges of each, the bits to spell them, texts' numbers."""
     hashed, counts = word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in run])
     text = np.repeat(np.arange(len(run)), counts + 2)
@@ -293,7 +313,7 @@ def word_rows(bits: np.ndarray, run: list[str | None]) -> tuple[np.ndarray, np.n
     inner = np.ones(len(text), bool)
     inner[last] = inner[last - counts - 1] = False
     words, cost = np.empty(len(text), np.uint64), np.zeros(len(text))
-    words[inner], cost[inner] = hashed, spelling(bits, run)
+    words[inner], cost[inner] = hashed, spelling(bits, s)
     words[last - counts - 1], words[last] = _EDGES
     cost[last] = end_bits(bits)
     return words, cost, text
@@ -333,7 +353,7 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
         bits = shared.value.bits()
         for b in batches:
             for run in _groups(b.column(0).to_pylist()):
-                words, cost, text = word_rows(bits, run)
+                words, cost, text = word_rows(bits, run, symbols(run))
                 pair = np.flatnonzero(text[1:] == text[:-1])
                 _, at, n = np.unique(pair_keys(words[pair], words[pair + 1]), return_index=True, return_counts=True)
                 own = pair[at]
@@ -354,6 +374,7 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
 
     named = trusted.select(F.col(text).alias("text")).where("text is not null and text <> ''")
     counted = materialize(named.mapInArrow(count, "v long, w long, n long, cost double, part int"), "quality-counted", by="part")
+    shared.destroy()
     release(spark)
     pairs, words = [], []
     for k in range(SLICES):  # by the second word
@@ -444,35 +465,61 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     return fit_words(some.join(ids.hint("merge"), "trusted_id", "left_semi"))
 
 
+def _lists(of: np.ndarray, grams: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Text, part, count, number of n-grams of each list, and the n-grams of all lists in turn.
+
+    A list has the distinct n-grams of a text that are in one part and occur equally often.  They are
+    given in order."""
+    key = of * SLICES + part
+    order = np.argsort(key.astype(np.min_scalar_type(int(key.max()))) if len(key) else key, kind="stable")
+    key, grams = key[order], grams[order]
+    new = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (key[1:] != key[:-1]))[: len(key)])
+    count, key, grams = np.diff(new, append=len(key)), key[new], grams[new]
+    often = np.flatnonzero(count > 1)
+    often = often[np.lexsort((count[often], key[often]))]
+    order = np.concatenate([np.flatnonzero(count == 1), often])
+    count, key, grams = count[order], key[order], grams[order]
+    first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (count[1:] != count[:-1]))[: len(key)])
+    return key[first] // SLICES, key[first] % SLICES, count[first], np.diff(first, append=len(key)), grams
+
+
 def _row_scores(bits: np.ndarray, leave: float, hot: tuple, known: np.ndarray, texts: list[str | None]):
-    """Words and bits of each text by what its task knows; text, n-gram, its part and count of the rest."""
+    """Words and bits of each text by what its task knows; ``_lists`` of the rest."""
     size, sums, rest = np.zeros(len(texts), np.int64), np.zeros(len(texts)), []
     at = 0
     for run in _groups(texts):
-        words, cost, text = word_rows(bits, run)
+        s, chars = symbols(run), np.array([len(t or "") for t in run], np.int64)
+        words, cost, text = word_rows(bits, run, s)
         n = np.bincount(text, minlength=len(run)) - 1
         size[at : at + len(run)] = n
-        running = [(x or 0.0) * len(t or "") for x, t in zip(score(bits, run), run)]
-        sums[at : at + len(run)] = np.bincount(text, cost, len(run)) + n * leave + running
+        run_on = [round(x / c, 6) * c if c else 0.0 for x, c in zip(running(bits, s, chars).tolist(), chars.tolist())]
+        sums[at : at + len(run)] = np.bincount(text, cost, len(run)) + n * leave + run_on
         pair = np.flatnonzero(text[1:] == text[:-1])
         grams = np.concatenate([words, pair_keys(words[pair], words[pair + 1])]).view(np.int64)
-        of = np.concatenate([text, text[pair]])
-        part = part_of(np.concatenate([words, words[pair + 1]]))
+        order = np.argsort(grams)  # looked up in order: near ones together
+        grams, of = grams[order], np.concatenate([text, text[pair]])[order]
         if len(hot[0]):
-            order, place = np.argsort(grams), np.empty(len(grams), np.int64)  # looked up in order: near ones together
-            place[order] = np.minimum(np.searchsorted(hot[0], grams[order]), len(hot[0]) - 1)
+            place = np.minimum(np.searchsorted(hot[0], grams), len(hot[0]) - 1)
             found = hot[0][place] == grams
             sums[at : at + len(run)] -= np.bincount(of[found], hot[1][place[found]], len(run))
-            grams, of, part = grams[~found], of[~found], part[~found]
+            grams, of, order = grams[~found], of[~found], order[~found]
         some = bloom.maybe(known, grams)
-        grams, of, part = grams[some], of[some], part[some]
-        order = np.lexsort((grams, of))
-        grams, of, part = grams[order], of[order], part[order]
-        new = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (of[1:] != of[:-1])])) if len(of) else np.zeros(0, np.int64)
-        rest.append((at + of[new], grams[new], part[new], np.diff(new, append=len(of))))
+        grams, of, order = grams[some], of[some], order[some]
+        part = part_of(words[np.concatenate([np.arange(len(words)), pair + 1])[order]])
+        some = np.array([bool(t) for t in run], bool)[of]
+        rest.append(_lists(at + of[some], grams[some], part[some]))
         at += len(run)
-    text, grams, part, n = (np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, np.int64),) * 4
-    return size, sums, text, grams, part.astype(np.int32), n
+    return size, sums, *((np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, np.int64),) * 5)
+
+
+def _together(numbers: list[int]) -> list[list[int]]:
+    """Neighbouring parts that are joined at a time: one, or as many as have few n-grams in all."""
+    out: list[list[int]] = [[0]]
+    for k in range(1, len(numbers)):
+        if sum(numbers[j] for j in out[-1]) + numbers[k] > FEW:
+            out.append([])
+        out[-1].append(k)
+    return out
 
 
 def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: list[Column] | None = None) -> DataFrame:
@@ -490,21 +537,21 @@ def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: l
         bits = spell.bits()
         for b in batches:
             texts = b.column("_text").to_pylist()
-            size, sums, of, grams, part, n = _row_scores(bits, leave, hot, known, texts)
+            size, sums, of, part, n, held, grams = _row_scores(bits, leave, hot, known, texts)
             row = b.column("_row").to_numpy()
-            names = ["row", "gram", "n", "bits", "own", "part"]
+            names = ["row", "grams", "n", "held", "bits", "own", "part"]
             # The rows of the texts themselves are in a part of their own.
             empty = pa.array([not t for t in texts], pa.bool_())
             total = pa.array(sums / (2 * size), mask=empty.to_numpy(zero_copy_only=False))
             texts_part = pa.array(np.full(len(row), SLICES, np.int32))
             yield pa.RecordBatch.from_arrays(
-                [b.column("_row"), pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.float64()), total, b.column("_own"), texts_part], names=names
+                [b.column("_row"), pa.nulls(len(row), pa.list_(pa.int64())), pa.nulls(len(row), pa.float64()), pa.nulls(len(row), pa.int64()),
+                 total, b.column("_own"), texts_part], names=names
             )
-            has = np.array([bool(t) for t in texts], bool)[of]
-            of, grams, part, n = of[has], grams[has], part[has], n[has]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(held)).astype(np.int32)), pa.array(grams))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row[of]), pa.array(grams), pa.array(n / (2 * size[of])), pa.nulls(len(of), pa.float64()), pa.nulls(len(of), b.column("_own").type),
-                 pa.array(part)], names=names
+                [pa.array(row[of]), lists, pa.array(n / (2 * size[of])), pa.array(held), pa.nulls(len(of), pa.float64()),
+                 pa.nulls(len(of), b.column("_own").type), pa.array(part.astype(np.int32))], names=names
             )
 
     # By values, not by place: the same rows in each portion, however often the table is worked out.
@@ -513,18 +560,23 @@ def scored(docs: DataFrame, model: Words | None, *, text: str = "text", extra: l
     for p in range(PORTIONS):
         some = named.where(of_row == p).select(F.monotonically_increasing_id().alias("_row"), F.struct(*kept).alias("_own") if kept else F.lit(0).alias("_own"), "_text")
         own = dict(some.dtypes)["_own"]
-        rows = materialize(some.mapInArrow(scan, f"row long, gram long, n double, bits double, own {own}, part int"), "quality-rows", by="part")
+        rows = materialize(
+            some.mapInArrow(scan, f"row long, grams array<long>, n double, held long, bits double, own {own}, part int"), "quality-rows", by="part"
+        )
         sums = []
-        for k in range(0, SLICES, JOINED):
-            gains = _all(model.parts[k : k + JOINED])
-            met = rows.where(F.col("part").between(k, k + JOINED - 1)).join(gains.hint("shuffle_hash"), "gram")
+        of_part = dict(rows.where("held is not null").groupBy("part").agg(F.sum("held")).collect())
+        for ks in _together([of_part.get(k, 0) for k in range(SLICES)]):
+            gains = _all([model.parts[k] for k in ks])
+            mine = rows.where(F.col("part").between(ks[0], ks[-1])).select("row", "n", F.explode("grams").alias("gram"))
+            met = mine.join(gains.hint("shuffle_hash"), "gram")
             sums.append(materialize(met.groupBy("row").agg(F.sum(F.col("n") * F.col("gain")).alias("gain")), "quality-sums"))
-            for j in range(k, k + JOINED):
-                discard(rows, f"/part={j}")
+            for k in ks:
+                discard(rows, f"/part={k}")
             release(spark)
         won = _all(sums).groupBy("row").agg(F.sum("gain").alias("gain"))
         met = rows.where(F.col("part") == SLICES).join(won.hint("merge"), "row", "left")
         portions.append(met.select(*[F.col("own").getField(c).alias(c) for c in kept], F.round(F.col("bits") - F.coalesce("gain", F.lit(0.0)), 6).alias("bits")))
+    shared.destroy()  # all that is left reads written tables
     return _all(portions)
 
 
@@ -594,6 +646,7 @@ def keep_good(
     rows = materialize(scored(marked, model, extra=[F.col("key"), F.col("lang"), F.col("mark")]), "quality-scores")
     if model:
         discard(model.gains)
+    del model
     release(spark)
     most = {r.lang: r.most for r in thresholds(rows, labels, quantile).collect()}
     limit = _limit(F.col("lang"), most)

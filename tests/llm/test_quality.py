@@ -205,3 +205,37 @@ def test_a_filter_is_filled_by_a_task_for_each_core(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     made = quality.bloom.build(spark.range(0, 5000, 1, 8 * cores))
     assert tasks == [cores] and quality.bloom.maybe(made, np.arange(5000)).all()
+
+
+def test_ngrams_of_a_text_are_lists():
+    """One row for each part of the n-grams of a text that occur equally often, whatever their number."""
+    bits = np.random.default_rng(1).random(S**N).astype(np.float32)
+    texts = [edge.prose(1, 400) + " aa" * 9, None, "", " \n", "a", "é 漢字  a b\tc", "Cher, " * 30]
+    nothing, everything = (np.zeros(0, np.int64), np.zeros(0)), np.full(512, 255, np.uint8)
+    size, _, of, part, n, held, grams = quality._row_scores(bits, 0.0, nothing, everything, texts)
+    got = Counter()
+    for i, k, c, g in zip(*(np.repeat(x, held).tolist() for x in (of, part, n)), grams.tolist()):
+        got[i, k, g] += c
+    want = Counter()
+    for i, t in enumerate(texts):
+        words, _, _ = quality.word_rows(bits, [t], quality.symbols([t]))
+        assert size[i] == len(words) - 1
+        single, pairs = quality.part_of(words), quality.pair_keys(words[:-1], words[1:])
+        if t:
+            want.update(zip([i] * len(words), single.tolist(), words.view(np.int64).tolist()))
+            want.update(zip([i] * len(pairs), single[1:].tolist(), pairs.view(np.int64).tolist()))
+    assert got == want
+    assert len(set(zip(of.tolist(), part.tolist(), n.tolist()))) == len(of) < len(grams) / 4
+
+
+def test_running_characters_equal_scores_of_texts():
+    bits = np.random.default_rng(2).random(S**N).astype(np.float32)
+    texts = ["", "a", None, "ab", " ", edge.prose(2, 90), "\n\n", "é漢字 x"]
+    sums = quality.running(bits, quality.symbols(texts), np.array([len(t or "") for t in texts]))
+    assert [round(x / len(t), 6) if t else None for x, t in zip(sums.tolist(), texts)] == quality.score(bits, texts)
+
+
+def test_small_parts_are_joined_in_one_query():
+    assert quality._together([1] * quality.SLICES) == [list(range(quality.SLICES))]
+    assert quality._together([quality.FEW] * quality.SLICES) == [[k] for k in range(quality.SLICES)]
+    assert quality._together([quality.FEW - 1, 1, 1, 0]) == [[0, 1], [2, 3]]
