@@ -215,8 +215,10 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u")
-        small = moved.select("u", F.col("m").alias("v")).unionByName(moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edges = materialize(small.distinct(), "components")
+        # Both links of a row at once: a union would plan all of the above twice.
+        ends = moved.select("m", F.explode(F.array("u", "v")).alias("u")).where("u <> m")
+        edges = materialize(ends.select("u", F.col("m").alias("v")).distinct(), "components")
+        release(edges.sparkSession)
         state = _state(edges)
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

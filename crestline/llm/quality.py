@@ -63,6 +63,7 @@ _PART_BITS = 3
 SLICES = 1 << _PART_BITS
 PORTIONS = 3  # of the texts that are scored
 FEW = 5 << 20  # n-grams for which a query of their own does not pay
+AT_MOST = 3  # parts of the model in one query
 _MARKS = " .,;:!?'\"()-|/%"
 BLANK = 29
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -293,8 +294,8 @@ def part_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(64 - _PART_BITS)).astype(np.int32)
 
 
-def _in_part(name: str, k: int) -> Column:
-    return F.shiftrightunsigned(name, 64 - _PART_BITS) == k
+def _part(name: str) -> Column:
+    return F.shiftrightunsigned(name, 64 - _PART_BITS)
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -367,7 +368,8 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
     def name(batches):
         for b in batches:
             v, w = (b.column(c).to_numpy().view(np.uint64) for c in ("v", "w"))
-            yield pa.RecordBatch.from_arrays([pa.array(pair_keys(v, w).view(np.int64)), b.column("gain"), b.column("often")], names=["gram", "gain", "often"])
+            cols = [pa.array(pair_keys(v, w).view(np.int64)), b.column("gain"), b.column("often"), pa.array(part_of(w))]
+            yield pa.RecordBatch.from_arrays(cols, names=["gram", "gain", "often", "part"])
 
     def off(d: list[float]) -> Column:
         return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
@@ -377,14 +379,17 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
     shared.destroy()
     release(spark)
     pairs, words = [], []
-    for k in range(SLICES):  # by the second word
-        part = counted.where(F.col("part") == k)
+    of_part = dict(counted.groupBy("part").count().collect())
+    groups = _together([of_part.get(k, 0) for k in range(SLICES)], AT_MOST)
+    for ks in groups:  # by the second word
+        part = counted.where(F.col("part").between(ks[0], ks[-1]))
         own = materialize(part.groupBy("v", "w").agg(F.sum("n").alias("c")), "quality-pairs")
         cost = part.where("cost is not null").groupBy("w").agg(F.max("cost").alias("cost"))
         of = own.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.sum("c").alias("often"))
         pairs.append(own)
         words.append(materialize(of.join(cost.hint("merge"), "w"), "quality-words"))
-        discard(counted, f"/part={k}")
+        for k in ks:
+            discard(counted, f"/part={k}")
         release(spark)
 
     own = off(_discounts(_all(words)))
@@ -397,22 +402,29 @@ def fit_words(trusted: DataFrame, text: str = "text") -> Words | None:
     # Bits that a context adds to whatever follows it unseen.
     follow = contexts.select("v", "total", (F.log2("total") - F.log2("off")).alias("down"))
     parts = []
-    for k in range(SLICES):
-        known = words[k].select("w", "often", "cost", _gain((F.col("c") - own) / float(whole.total), below).alias("gain"))
-        first = follow.where(_in_part("v", k)).select(F.col("v").alias("gram"), (-F.col("down")).alias("gain"), F.col("total").alias("often"))
+    for ks, own_pairs, own_words in zip(groups, pairs, words, strict=True):
+        known = own_words.select("w", "often", "cost", _gain((F.col("c") - own) / float(whole.total), below).alias("gain"))
+        first = follow.where(_part("v").between(ks[0], ks[-1])).select(
+            F.col("v").alias("gram"), (-F.col("down")).alias("gain"), F.col("total").alias("often")
+        )
         single = (
             known.select(F.col("w").alias("gram"), "gain", "often").unionByName(first)
             .groupBy("gram").agg(F.sum("gain").alias("gain"), F.max("often").alias("often"))
         )
         # The sides that are built have one row a key, a part of the model in all.
-        met = pairs[k].join(follow.hint("shuffle_hash"), "v").join(known.drop("often").hint("shuffle_hash"), "w")
+        met = own_pairs.join(follow.hint("shuffle_hash"), "v").join(known.drop("often").hint("shuffle_hash"), "w")
         both = met.select(
             "v", "w", _gain((F.col("c") - cut) / F.col("total"), F.col("down") + F.col("cost") + leave - F.col("gain")).alias("gain"),
             F.col("c").alias("often"),
-        ).mapInArrow(name, "gram long, gain double, often long")
-        parts.append(materialize(single.unionByName(both), "quality-gains"))
-        discard(pairs[k])
-        discard(words[k])
+        ).mapInArrow(name, "gram long, gain double, often long, part int")
+        table = single.withColumn("part", _part("gram").cast("int")).unionByName(both)
+        if len(ks) == 1:
+            parts.append(materialize(table.drop("part"), "quality-gains"))
+        else:
+            table = materialize(table, "quality-gains", by="part")
+            parts += [table.where(F.col("part") == k).drop("part") for k in ks]
+        discard(own_pairs)
+        discard(own_words)
         release(spark)
     discard(contexts)
     gains = _all(parts)
@@ -512,11 +524,11 @@ def _row_scores(bits: np.ndarray, leave: float, hot: tuple, known: np.ndarray, t
     return size, sums, *((np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, np.int64),) * 5)
 
 
-def _together(numbers: list[int]) -> list[list[int]]:
-    """Neighbouring parts that are joined at a time: one, or as many as have few n-grams in all."""
+def _together(numbers: list[int], most: int = SLICES) -> list[list[int]]:
+    """Neighbouring parts that are joined at a time: one, or as many, up to ``most``, as have few n-grams in all."""
     out: list[list[int]] = [[0]]
     for k in range(1, len(numbers)):
-        if sum(numbers[j] for j in out[-1]) + numbers[k] > FEW:
+        if len(out[-1]) == most or sum(numbers[j] for j in out[-1]) + numbers[k] > FEW:
             out.append([])
         out[-1].append(k)
     return out

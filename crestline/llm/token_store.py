@@ -365,6 +365,16 @@ def by_volume(batches: Iterator[pa.RecordBatch], chars: int = 2 << 20) -> Iterat
         yield keys, texts
 
 
+def _width(spark: SparkSession, tokenizer: str) -> int:
+    """Bytes of an id, found in a task: the driver would keep the tokenizer's memory."""
+
+    def measure(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([Encoder.of(tokenizer).width] * b.num_rows, pa.int32())], names=["width"])
+
+    return spark.range(0, 1, 1, 1).mapInArrow(measure, "width int").first().width
+
+
 def write_store(
     docs: DataFrame, tokenizer: str, *, folder: str | None = None, key: str = "doc_id",
     text: str = "text", end_id: int = END_ID, shards: int | None = None,
@@ -375,7 +385,7 @@ def write_store(
     folder = folder or shared_dir(spark, "token-store")
     spark.createDataFrame([(0,)], "x int").write.parquet(f"{folder}/.made")  # makes the folder
     shards = shards or shuffle_partitions(spark)
-    width = Encoder.of(tokenizer).width
+    width = _width(spark, tokenizer)
 
     def write(batches):
         encoder = Encoder.of(tokenizer)

@@ -131,3 +131,19 @@ def test_known_components_are_not_found_anew(spark, monkeypatch):
     assert written == ["components"] * 2 and sorted(again.collect()) == sorted(roots.collect())
     more = minhash._more(roots, spark.createDataFrame([(20, 12), (30, 31)], "a long, b long"))
     assert {r.node: r.root for r in more.collect()} == {**{i: 0 for i in [*range(1, 13), 20, 21]}, 31: 30}
+
+
+def test_a_round_of_components_plans_its_links_once(spark, monkeypatch):
+    """The driver holds and reports the plan of each round, so nothing in it is there twice."""
+    scans, materialize = [], minhash.materialize
+
+    def written(df, purpose, by=None):
+        scans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        return materialize(df, purpose, by)
+
+    monkeypatch.setattr(minhash, "materialize", written)
+    links = materialize(spark.createDataFrame([(1, 2), (2, 3), (3, 4), (5, 5), (9, 7), (7, 8)], "a long, b long"), "test-links")
+    got = sorted(tuple(r) for r in minhash.components(links).collect())
+    assert got == [(2, 1), (3, 1), (4, 1), (8, 7), (9, 7)]
+    # Both directions of the links, and the least neighbours of either, for the links and for their own least.
+    assert max(scans[1:]) <= 8

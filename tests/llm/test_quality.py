@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter, defaultdict
+from dataclasses import replace
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -239,3 +240,26 @@ def test_small_parts_are_joined_in_one_query():
     assert quality._together([1] * quality.SLICES) == [list(range(quality.SLICES))]
     assert quality._together([quality.FEW] * quality.SLICES) == [[k] for k in range(quality.SLICES)]
     assert quality._together([quality.FEW - 1, 1, 1, 0]) == [[0, 1], [2, 3]]
+
+
+def test_few_parts_of_the_model_share_a_query(spark, monkeypatch):
+    """A small model takes a query for some parts at a time, and is the same as by one part at a time."""
+    docs = spark.createDataFrame([(edge.prose(i, 60),) for i in range(12)], "text string")
+    monkeypatch.setattr(quality, "HOT", 0)
+    written, materialize = [], quality.materialize
+
+    def counted(df, purpose, by=None):
+        written.append(purpose)
+        return materialize(df, purpose, by)
+
+    monkeypatch.setattr(quality, "materialize", counted)
+
+    def gains(model):
+        return sorted((r.gram, round(r.gain, 9)) for r in model.gains.collect())
+
+    some = quality.fit_words(docs)
+    tables = [gains(replace(some, parts=[p])) for p in some.parts]
+    assert len(some.parts) == quality.SLICES and written.count("quality-gains") < quality.SLICES / 2
+    monkeypatch.setattr(quality, "AT_MOST", 1)
+    alone = quality.fit_words(docs)
+    assert tables == [gains(replace(alone, parts=[p])) for p in alone.parts]

@@ -126,3 +126,10 @@ def test_repeated_key_spans_shards(spark):
 def test_empty(spark):
     store = write_store(edge.empty(spark), PATH)
     assert store.buckets == 0 and store.get(1) == [] and read_store(store, edge.docs(spark)).count() == 0
+
+
+def test_the_driver_loads_no_tokenizer(spark, monkeypatch):
+    monkeypatch.setattr(Encoder, "_made", {})
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    store = write_store(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), path)
+    assert store.width == 2 and sum(store.rows) == 2 and not Encoder._made
